@@ -9,8 +9,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text handled at once by a Python worker, in bytes; one row may be longer.
 SLICE_BYTES = 4 << 20
@@ -145,3 +146,45 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 def row_sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows, weights=values, minlength=n)
+
+
+def bounded_sample(df: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
+    """At most per_label rows of each label, drawn by a hash of the key: the same rows at every run."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().orderBy(F.desc("count"), label).limit(1000).collect()}
+    if not counts:
+        return df
+    draw = F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.1 * per_label / n))])
+    drawn = df.where(draw < F.coalesce(share[F.col(label)], F.lit(0.0)))
+    order = Window.partitionBy(label).orderBy(F.xxhash64(F.col(key), F.lit(11)), key)
+    return drawn.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_label).drop("_rank")
+
+
+#: Bits of a filter by hashed keys: of this size whatever the data.
+FILTER_BITS = 1 << 24
+
+
+def prefilter(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of df whose keys are, or by a collision seem to be, among wanted's: fewer rows for the join that follows.
+
+    The keys are hashed into a bit table of fixed size, FILTER_BITS, that each executor gets; the more keys, the less it holds back.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("v")).toPandas()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
+    held = df.sparkSession.sparkContext.broadcast(bits)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held.value.view(np.uint64)
+        for b in batches:
+            s = b.column("_slot").to_numpy()
+            yield b.filter(pa.array((table[s >> 6] >> (s & 63).astype(np.uint64)) & np.uint64(1) != 0))
+
+    wide = df.withColumn("_slot", slot)
+    return wide.mapInArrow(each, wide.schema).drop("_slot")
+
+
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """df's schema and more fields."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -1,8 +1,19 @@
-"""The queries of this subpackage."""
+"""The queries of this subpackage. None of them can be written in the SQL of the checking engine: tests hold them against brute force."""
 
 from __future__ import annotations
 
-from . import simhash
+from . import ann, bpe, langid, lines, mixing, quality, simhash, substring, topk, urls
 
-QUERIES = {"op8_simhash_near_dedup": simhash.op8}
+QUERIES = {
+    "op1_substring_dedup": substring.op1,
+    "op2_source_mixing": mixing.op2,
+    "op3_byte_bpe": bpe.op3,
+    "op4_exact_top_k": topk.op4,
+    "op5_url_filters": urls.op5,
+    "op6_quality_classifier": quality.op6,
+    "op7_language_id": langid.op7,
+    "op8_simhash_near_dedup": simhash.op8,
+    "op9_line_dedup": lines.op9,
+    "op10_ann_search": ann.op10,
+}
 ORACLES: dict[str, str] = {}
