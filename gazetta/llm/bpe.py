@@ -6,13 +6,12 @@ import base64
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table
 
-#: Rank of a pair that does not merge.
-NEVER = 2**31 - 1
 #: Most words whose ids are kept in the plan as a literal; the others are folded where they stand.
 KNOWN_WORDS = 1 << 19
 
@@ -48,11 +47,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def sign(rank: int, size: int) -> str:
+    """One character that stands for an id; their order is that of the ids. Small vocabularies stay below the surrogates."""
+    return chr(rank + (0x800 if size <= 0xD000 else 0x10000))
+
+
 class ByteBPE:
     """Encoder and decoder of one rank file; the file is read on the driver.
 
+    A word is folded as a string with one character for each of its pieces, at first its bytes: each step looks up all
+    pairs of neighbours and overlays the pair of lowest rank, the leftmost of equal ones, with the merged piece.
     Null text counts as empty: no ids, empty bytes. Ids outside the vocabulary fail when decoded.
-    A single match of the pattern of n bytes takes steps in proportion to n squared; texts as a whole take linear time.
+    A single match of the pattern of n bytes takes time in proportion to n squared; texts as a whole take linear time.
     """
 
     def __init__(self, spark: SparkSession, path: str, pattern: str = public_tokenizers.PATTERN, known_words: int = KNOWN_WORDS):
@@ -60,49 +66,42 @@ class ByteBPE:
         #: In Java, \s is Unicode white space only under (?U).
         self.pattern = "(?U)" + pattern
         ranks = read_ranks(path)
-        self.buckets = max(1, len(ranks) // 2)
-        self.rows = spark.createDataFrame([(k.decode("latin-1"), v) for k, v in ranks.items()], "piece string, rank int")
+        if sorted(ranks.values()) != list(range(len(ranks))) or any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("ranks must be 0 to n - 1 and hold every byte")
+        n = len(ranks)
+        self.base = ord(sign(0, n))
+        self.byte_signs = "".join(sign(ranks[bytes([b])], n) for b in range(256))
+        self.all_bytes = "".join(map(chr, range(256)))
+        # Whole words and pairs of pieces are told apart by their characters, so that one map holds both.
+        rows = [("w" + k.decode("latin-1"), sign(v, n)) for k, v in ranks.items()]
+        for k, v in ranks.items():
+            rows += [(sign(ranks[k[:i]], n) + sign(ranks[k[i:]], n), sign(v, n)) for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks]
+        self.buckets = max(1, len(rows) // 2)
+        self.merges = spark.createDataFrame(pa.table({"key": [k for k, _ in rows], "merged": [v for _, v in rows]}))
+        self.pieces = spark.createDataFrame(pa.table({"rank": pa.array(ranks.values(), pa.int32()), "piece": [k.decode("latin-1") for k in ranks]}))
 
     def words(self, text: Column) -> Column:
         """What the pattern matches, in order."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
     def ranks(self) -> Column:
-        return hash_map(self.rows, "piece", "rank", self.buckets).scalar()
-
-    def rank(self, maps: Column, piece: Column) -> Column:
-        return F.coalesce(look_up(maps, piece, self.buckets), F.lit(NEVER))
+        return hash_map(self.merges, "key", "merged", self.buckets).scalar()
 
     def merged(self, maps: Column, word: Column) -> Column:
-        """Ids of one word: as long as some neighbours form a known piece, those of lowest rank merge, leftmost first."""
-        kind = "struct<parts:array<string>,ranks:array<int>>"
-        none = F.array().cast("array<int>")
-
-        def start(w: Column) -> Column:
-            parts = F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(w, i, F.lit(1)))
-            pairs = F.when(F.length(w) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(w) - 1)), lambda i: self.rank(maps, F.substring(w, i, F.lit(2))))).otherwise(none)
-            return F.struct(parts.alias("parts"), pairs.alias("ranks")).cast(kind)
-
-        def merge(s: Column, p: Column) -> Column:
-            parts, ranks = s["parts"], s["ranks"]
-
-            def put(q: Column) -> Column:
-                left = F.when(p > 1, F.array(self.rank(maps, F.concat(F.get(parts, p - 2), q)))).otherwise(none)
-                right = F.when(p + 1 < F.size(parts), F.array(self.rank(maps, F.concat(q, F.get(parts, p + 1))))).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(parts, F.lit(1), p - 1), F.array(q), F.slice(parts, p + 2, F.size(parts))).alias("parts"),
-                    F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), left, right, F.slice(ranks, p + 2, F.size(parts))).alias("ranks"),
-                ).cast(kind)
-
-            return let(F.concat(F.get(parts, p - 1), F.get(parts, p)), put)
+        """Ids of one word."""
+        find = lambda key: look_up(maps, key, self.buckets)
 
-        def step(s: Column, _: Column) -> Column:
-            return let(F.array_min(s["ranks"]), lambda m: F.when(m < NEVER, let(F.array_position(s["ranks"], m).cast("int"), lambda p: merge(s, p))).otherwise(s))
+        def step(s: Column, i: Column) -> Column:
+            pairs = F.when(F.length(s) > 1, F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda j: find(F.substring(s, j, F.lit(2)))))
+            lowest = lambda found: F.array_min(found)
+            return F.coalesce(let(pairs, lambda found: let(lowest(found), lambda q: F.when(q.isNotNull(), F.overlay(s, q, F.array_position(found, q).cast("int"), F.lit(2))))), s)
 
         def fold(w: Column) -> Column:
-            return F.aggregate(F.sequence(F.lit(1), F.length(w)), start(w), step, lambda s: F.transform(s["parts"], lambda x: self.rank(maps, x)))
+            signs = F.translate(w, self.all_bytes, self.byte_signs)
+            return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length(w))), signs, step)
 
-        return let(latin(word.cast("binary")), lambda w: let(look_up(maps, w, self.buckets), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold(w))))
+        signs = let(latin(word.cast("binary")), lambda w: F.coalesce(find(F.concat(F.lit("w"), w)), fold(w)))
+        return let(signs, lambda s: F.transform(F.sequence(F.lit(1), F.length(s)), lambda j: F.ascii(F.substring(s, j, F.lit(1))) - self.base))
 
     def vocabulary(self, texts: DataFrame, text_col: str) -> DataFrame:
         """(word, ids) of the most frequent distinct words, at most known_words of them: folded once for all their places."""
@@ -129,7 +128,7 @@ class ByteBPE:
 
     def decode(self, df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
         """df with the bytes of each id list: its pieces, concatenated."""
-        pieces = self.rows.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "piece"))), lambda x: x["piece"]).alias("p")).scalar()
+        pieces = self.pieces.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "piece"))), lambda x: x["piece"]).alias("p")).scalar()
         join = lambda x: F.array_join(F.transform(x["ids"], lambda i: F.element_at(x["pieces"], i + 1)), "")
         both = let(F.struct(F.col(ids_col).alias("ids"), F.col("_pieces").alias("pieces")), lambda x: F.struct(x["ids"].alias("ids"), F.encode(join(x), "ISO-8859-1").alias("bytes")))
         # Ids and pieces are each used once, so that the optimizer makes one step of this and the encoding, and no column of the pieces.
