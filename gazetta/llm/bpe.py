@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-#: Most words whose ids are kept in the plan as a literal; the others are folded where they stand.
-KNOWN_WORDS = 1 << 19
+#: Most words whose ids are kept in the plan as a literal, some 60 MB; the others are folded where they stand.
+KNOWN_WORDS = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -27,11 +27,11 @@ def latin(binary: Column) -> Column:
 
 
 def hash_map(rows: DataFrame, key: str, value: str, buckets: int) -> DataFrame:
-    """One row, one column: an array of maps from key to value, each key in the map that its hash names.
+    """One row, one column: an array of maps from key to value, each key in the map that its hash names; buckets is a power of two.
 
     A map literal is searched key by key; this one takes a few comparisons. As a scalar subquery it is part of the plan.
     """
-    spread = rows.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("b")).agg(F.collect_list(F.struct(key, value)).alias("kv"))
+    spread = rows.groupBy(F.xxhash64(key).bitwiseAND(F.lit(buckets - 1)).alias("b")).agg(F.collect_list(F.struct(key, value)).alias("kv"))
     full = rows.sparkSession.range(buckets).select(F.col("id").alias("b")).join(spread, "b", "left")
     full = full.select("b", F.coalesce("kv", F.array().cast(spread.schema["kv"].dataType)).alias("kv"))
     order = F.array_sort(F.collect_list(F.struct("b", "kv")))
@@ -39,7 +39,11 @@ def hash_map(rows: DataFrame, key: str, value: str, buckets: int) -> DataFrame:
 
 
 def look_up(maps: Column, key: Column, buckets: int) -> Column:
-    return F.element_at(F.element_at(maps, (F.pmod(F.xxhash64(key), F.lit(buckets)) + 1).cast("int")), key)
+    return F.element_at(F.get(maps, F.xxhash64(key).bitwiseAND(F.lit(buckets - 1)).cast("int")), key)
+
+
+def power_of_two(n: int) -> int:
+    return 1 << max(0, n - 1).bit_length()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -55,8 +59,9 @@ def sign(rank: int, size: int) -> str:
 class ByteBPE:
     """Encoder and decoder of one rank file; the file is read on the driver.
 
-    A word is folded as a string with one character for each of its pieces, at first its bytes: each step looks up all
-    pairs of neighbours and overlays the pair of lowest rank, the leftmost of equal ones, with the merged piece.
+    A word is folded as two strings: one character for each of its pieces, at first its bytes, and one for what each pair
+    of neighbours merges to. Each step overlays the pair of lowest rank, the leftmost of equal ones, with the merged piece
+    and looks up the two new pairs.
     Null text counts as empty: no ids, empty bytes. Ids outside the vocabulary fail when decoded.
     A single match of the pattern of n bytes takes time in proportion to n squared; texts as a whole take linear time.
     """
@@ -70,13 +75,15 @@ class ByteBPE:
             raise ValueError("ranks must be 0 to n - 1 and hold every byte")
         n = len(ranks)
         self.base = ord(sign(0, n))
+        #: Stands for a pair that does not merge; above all others.
+        self.never = sign(n, n)
         self.byte_signs = "".join(sign(ranks[bytes([b])], n) for b in range(256))
         self.all_bytes = "".join(map(chr, range(256)))
         # Whole words and pairs of pieces are told apart by their characters, so that one map holds both.
         rows = [("w" + k.decode("latin-1"), sign(v, n)) for k, v in ranks.items()]
         for k, v in ranks.items():
             rows += [(sign(ranks[k[:i]], n) + sign(ranks[k[i:]], n), sign(v, n)) for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks]
-        self.buckets = max(1, len(rows) // 2)
+        self.buckets = power_of_two(len(rows) // 3)
         self.merges = spark.createDataFrame(pa.table({"key": [k for k, _ in rows], "merged": [v for _, v in rows]}))
         self.pieces = spark.createDataFrame(pa.table({"rank": pa.array(ranks.values(), pa.int32()), "piece": [k.decode("latin-1") for k in ranks]}))
 
@@ -88,23 +95,37 @@ class ByteBPE:
         return hash_map(self.merges, "key", "merged", self.buckets).scalar()
 
     def merged(self, maps: Column, word: Column) -> Column:
-        """Ids of one word."""
+        """Signs of one word's ids."""
         find = lambda key: look_up(maps, key, self.buckets)
+        pair = lambda s, j: F.coalesce(find(F.substring(s, j, F.lit(2))), F.lit(self.never))
+
+        def start(s: Column) -> Column:
+            pairs = F.array_join(F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda j: pair(s, j)), "")
+            return F.struct(s.alias("s"), pairs.alias("f"))
 
-        def step(s: Column, i: Column) -> Column:
-            pairs = F.when(F.length(s) > 1, F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda j: find(F.substring(s, j, F.lit(2)))))
-            lowest = lambda found: F.array_min(found)
-            return F.coalesce(let(pairs, lambda found: let(lowest(found), lambda q: F.when(q.isNotNull(), F.overlay(s, q, F.array_position(found, q).cast("int"), F.lit(2))))), s)
+        def step(x: Column, _: Column) -> Column:
+            s, f = x["s"], x["f"]
+
+            def merge(q: Column) -> Column:
+                p = F.instr(f, q)
+                put = lambda t: F.struct(t.alias("s"), F.overlay(f, F.concat(pair(t, p - 1), pair(t, p)), p - 1, F.lit(3)).alias("f"))
+                return F.when(q < self.never, let(F.overlay(s, q, p, F.lit(2)), put)).otherwise(x)
+
+            return let(F.array_min(F.split(f, "")), merge)
 
         def fold(w: Column) -> Column:
-            signs = F.translate(w, self.all_bytes, self.byte_signs)
-            return F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length(w))), signs, step)
+            # The word stands between two signs that merge with nothing, so that every pair has neighbours.
+            signs = F.concat(F.lit(self.never), F.translate(w, self.all_bytes, self.byte_signs), F.lit(self.never))
+            whole = F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length(w))), let(signs, start), step, lambda x: x["s"])
+            return F.replace(whole, F.lit(self.never), F.lit(""))
+
+        return let(latin(word.cast("binary")), lambda w: F.coalesce(find(F.concat(F.lit("w"), w)), fold(w)))
 
-        signs = let(latin(word.cast("binary")), lambda w: F.coalesce(find(F.concat(F.lit("w"), w)), fold(w)))
-        return let(signs, lambda s: F.transform(F.sequence(F.lit(1), F.length(s)), lambda j: F.ascii(F.substring(s, j, F.lit(1))) - self.base))
+    def ids(self, signs: Column) -> Column:
+        return F.transform(F.filter(F.split(signs, ""), lambda c: c != ""), lambda c: F.ascii(c) - self.base)
 
     def vocabulary(self, texts: DataFrame, text_col: str) -> DataFrame:
-        """(word, ids) of the most frequent distinct words, at most known_words of them: folded once for all their places."""
+        """(word, signs) of the most frequent distinct words, at most known_words of them: folded once for all their places."""
         counts = cut(texts.select(F.explode(self.words(F.col(text_col))).alias("word")).groupBy("word").count())
         size = F.floor(F.log2("count") * 8).cast("int")
         least, room = None, self.known_words
@@ -114,15 +135,15 @@ class ByteBPE:
             least = r["size"]
         frequent = counts.where(size >= (least if least is not None else 1 << 30))
         held = frequent.select("word", self.ranks().alias("_ranks"))
-        return cut(held.select("word", let(F.col("_ranks"), lambda m: self.merged(m, F.col("word"))).alias("ids")))
+        return cut(held.select("word", let(F.col("_ranks"), lambda m: self.merged(m, F.col("word"))).alias("signs")))
 
     def encode(self, df: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
         """df with the ids of each text, array<int>."""
         known = self.vocabulary(df, text_col)
-        buckets = max(1, self.known_words // 4)
-        maps = hash_map(known, "word", "ids", buckets).scalar()
+        buckets = power_of_two(self.known_words // 4)
+        maps = hash_map(known, "word", "signs", buckets).scalar()
         one = lambda m, k, w: F.coalesce(look_up(k, w, buckets), self.merged(m, w))
-        ids = let(F.struct("_ranks", "_known"), lambda x: F.flatten(F.transform(self.words(F.col(text_col)), lambda w: one(x["_ranks"], x["_known"], w))))
+        ids = let(F.struct("_ranks", "_known"), lambda x: self.ids(F.array_join(F.transform(self.words(F.col(text_col)), lambda w: one(x["_ranks"], x["_known"], w)), "")))
         # The optimizer puts the two subqueries' results into the one expression that uses them: they are no columns at run time.
         return df.withColumns({"_ranks": self.ranks(), "_known": maps}).withColumn(ids_col, ids).drop("_ranks", "_known")
 
