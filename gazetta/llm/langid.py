@@ -81,7 +81,7 @@ class Model:
         """ends - starts, rows and scores by language of the words of a buffer."""
         starts, ends, rows, script, three, four = word_features(data, offs)
         if not len(starts):
-            return np.zeros(0, np.int64), rows, np.zeros((0, len(self.langs)), np.float32)
+            return np.zeros(0, np.int64), rows, np.zeros((0, self.weights.shape[1]), np.float32)
         per = self.weights[three]
         per += self.weights[four]
         scores = span_sums(per, starts, ends)
