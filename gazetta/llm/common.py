@@ -164,25 +164,28 @@ def bounded_sample(df: DataFrame, label: str, key: str, per_label: int) -> DataF
 FILTER_BITS = 1 << 24
 
 
-def prefilter(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of df whose keys are, or by a collision seem to be, among wanted's: fewer rows for the join that follows.
+def maybe_in(wanted: DataFrame, wanted_hash: Column, own_hash: Column) -> Column:
+    """True if own_hash is, or by a collision seems to be, among wanted's hashes: it spares rows the join that follows.
 
-    The keys are hashed into a bit table of fixed size, FILTER_BITS, that each executor gets; the more keys, the less it holds back.
+    A table of FILTER_BITS bits, as a scalar subquery a part of the plan; the more keys, the less it holds back.
     """
-    slot = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
-    words = wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("v")).toPandas()
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64)
-    held = df.sparkSession.sparkContext.broadcast(bits)
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value.view(np.uint64)
-        for b in batches:
-            s = b.column("_slot").to_numpy()
-            yield b.filter(pa.array((table[s >> 6] >> (s & 63).astype(np.uint64)) & np.uint64(1) != 0))
-
-    wide = df.withColumn("_slot", slot)
-    return wide.mapInArrow(each, wide.schema).drop("_slot")
+    slot = lambda h: h.bitwiseAND(F.lit(FILTER_BITS - 1))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    words = wanted.select(slot(wanted_hash).alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(bit(F.col("s"))).alias("v"))
+    every = wanted.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("w")).join(words, "w", "left").select("w", F.coalesce("v", F.lit(0).cast("long")).alias("v"))
+    bits = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x["v"]).alias("bits")).scalar()
+    word = F.get(bits, F.shiftright(slot(own_hash), 6).cast("int"))
+    return word.bitwiseAND(bit(own_hash)) != 0
+
+
+def left_join_few(docs: DataFrame, few: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with few's further columns, joined on id and hash of the text (_id, _body). Documents that few lacks are not shuffled; few is read twice."""
+    own = F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))
+    hit = F.coalesce(maybe_in(few, F.xxhash64("_id", "_body"), own), F.lit(False))
+    same = (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_body"))
+    joined = docs.where(hit).join(few.hint("merge"), same, "left").drop("_id", "_body")
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in few.schema if f.name not in ("_id", "_body")}
+    return joined.unionByName(docs.where(~hit).withColumns(nothing))
 
 
 def with_fields(df: DataFrame, ddl: str) -> StructType:

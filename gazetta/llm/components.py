@@ -108,6 +108,25 @@ def forest(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return out
 
 
+#: Buckets up to this size are compared all at once, larger ones one by one.
+TOGETHER = 64
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions of the pairs that a spanning forest needs."""
+    up: dict[int, int] = {}
+    keep = []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        while (z := up.get(x, x)) != x:
+            x = z
+        while (z := up.get(y, y)) != y:
+            y = z
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            keep.append(i)
+    return np.array(keep, int)
+
+
 def linked_groups(t: pa.Table, radius: int, keys: tuple[str, ...] = ("bucket", "part")) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers (a, b) of links that span each bucket's components, over a table of whole groups."""
     n = t.num_rows
@@ -119,13 +138,22 @@ def linked_groups(t: pa.Table, radius: int, keys: tuple[str, ...] = ("bucket", "
         new[1:] |= c[1:] != c[:-1]
     starts = np.flatnonzero(new)
     sizes = np.diff(np.append(starts, n))
-    group = np.repeat(np.arange(len(starts)), sizes)
-    small = sizes[group] <= 8
-    for lag in range(1, 8):  # small buckets: all at once
-        a = np.flatnonzero(small[:-lag] & (group[:-lag] == group[lag:]) & (np.bitwise_count(fp[:-lag] ^ fp[lag:]) <= radius)) if n > lag else np.zeros(0, int)
-        if len(a):
-            yield a, a + lag
-    for s, k in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist()):
+    small = np.repeat(np.where(sizes <= TOGETHER, sizes, 0), sizes)
+    place = np.arange(n) - np.repeat(starts, sizes)
+    left, right = [], []
+    lag, rows = 1, np.flatnonzero(small > 1)
+    while len(rows := rows[place[rows] + lag < small[rows]]):
+        a = rows[np.bitwise_count(fp[rows] ^ fp[rows + lag]) <= radius]
+        left.append(a)
+        right.append(a + lag)
+        lag += 1
+    if left:
+        a, b = np.concatenate(left), np.concatenate(right)
+        keep = spanning(a, b)
+        if len(keep):
+            yield a[keep], b[keep]
+    large = sizes > TOGETHER
+    for s, k in zip(starts[large].tolist(), sizes[large].tolist()):
         if pairs := forest(fp[s : s + k], radius):
             p = np.array(pairs) + s
             yield p[:, 0], p[:, 1]

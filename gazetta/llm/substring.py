@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, join_by_counts, mixed, sliced, table, utf8
+from .common import SPACE, cut, join_by_counts, left_join_few, mixed, sliced, table, utf8
 
 #: A chunk has at least MIN bytes and ends after the first white space whose rolling hash has its MASK bits zero,
 #: or after about MAX bytes. WINDOW: bytes that the hash remembers, at most MIN.
@@ -113,7 +113,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     spans = repeated_spans(plain, run).select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("spans").alias("removed_spans"))
-    held = docs.join(spans.hint("merge"), (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_body")), "left").drop("_id", "_body")
+    held = left_join_few(docs.drop("removed_spans"), cut(spans), id_col, text_col)
     raw = F.col(text_col).cast("binary")
     ends = F.concat(F.transform("removed_spans", lambda x: x["at"]), F.array(F.octet_length(text_col)))
     starts = F.concat(F.array(F.lit(0)), F.transform("removed_spans", lambda x: x["end"]))
