@@ -62,7 +62,7 @@ class ByteBPE:
     A word is folded as two strings: one character for each of its pieces, at first its bytes, and one for what each pair
     of neighbours merges to. Each step overlays the pair of lowest rank, the leftmost of equal ones, with the merged piece
     and looks up the two new pairs.
-    Null text counts as empty: no ids, empty bytes. Ids outside the vocabulary fail when decoded.
+    Null text counts as empty: no ids, empty bytes. Ids outside the vocabulary add nothing when decoded.
     A single match of the pattern of n bytes takes time in proportion to n squared; texts as a whole take linear time.
     """
 
@@ -122,7 +122,8 @@ class ByteBPE:
         return let(latin(word.cast("binary")), lambda w: F.coalesce(find(F.concat(F.lit("w"), w)), fold(w)))
 
     def ids(self, signs: Column) -> Column:
-        return F.transform(F.filter(F.split(signs, ""), lambda c: c != ""), lambda c: F.ascii(c) - self.base)
+        whole = lambda s: F.when(s != "", F.transform(F.split(s, ""), lambda c: F.ascii(c) - self.base)).otherwise(F.array().cast("array<int>"))
+        return let(signs, whole)
 
     def vocabulary(self, texts: DataFrame, text_col: str) -> DataFrame:
         """(word, signs) of the most frequent distinct words, at most known_words of them: folded once for all their places."""
@@ -150,7 +151,7 @@ class ByteBPE:
     def decode(self, df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
         """df with the bytes of each id list: its pieces, concatenated."""
         pieces = self.pieces.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "piece"))), lambda x: x["piece"]).alias("p")).scalar()
-        join = lambda x: F.array_join(F.transform(x["ids"], lambda i: F.element_at(x["pieces"], i + 1)), "")
+        join = lambda x: F.array_join(F.transform(x["ids"], lambda i: F.get(x["pieces"], i)), "")
         both = let(F.struct(F.col(ids_col).alias("ids"), F.col("_pieces").alias("pieces")), lambda x: F.struct(x["ids"].alias("ids"), F.encode(join(x), "ISO-8859-1").alias("bytes")))
         # Ids and pieces are each used once, so that the optimizer makes one step of this and the encoding, and no column of the pieces.
         out = df.withColumn("_pieces", pieces).withColumn("_both", both).drop("_pieces")
