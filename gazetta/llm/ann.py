@@ -14,8 +14,9 @@ from .common import cut, table
 from .vectors import BLOCK, EVERY, best, packed, unpacked, valid
 
 K = 5
-#: Rows that fit the list centres, drawn by a hash of the id; most lists; lists probed, as a share and at least.
-SAMPLE, LISTS, PROBE_SHARE, PROBES = 16384, 1024, 0.15, 12
+#: Rows that fit the list centres, drawn by a hash of the id; most lists; share of the lists probed: vectors that hardly
+#: cluster have their neighbours in many lists, and the fewer the rows, the more.
+SAMPLE, LISTS, PROBE_SHARE = 16384, 1024, 0.75
 #: Most rows of a list's piece and of a block of queries, on average; columns of a block of dimensions.
 PIECE, QUERIES, COLUMNS = 2048, 256, 16
 #: How sure a test must be before it abandons a candidate: larger is surer.
@@ -142,7 +143,7 @@ def nearest(df: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id
         return one
 
     index = members.withColumn("piece", piece).groupBy("list", "piece").applyInPandas(pack("list", "piece"), f"list int, piece int, {BLOCK}")
-    probes = int(min(lists, max(PROBES, np.ceil(probe_share * lists))))
+    probes = int(min(lists, max(1, np.ceil(probe_share * lists))))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -236,6 +236,25 @@ def test_nearest_recall_on_the_test_table(spark):
     assert hit / total >= 0.9, hit / total
 
 
+@pytest.mark.parametrize("d", ["/root/testdata/sf0.1", "/root/testdata/check_s"])
+def test_nearest_recall_on_larger_tables(spark, d):
+    """2,000 and 10,256 vectors: no floor on the probes hides how many lists the neighbours are in."""
+    pdf = spark.read.parquet(f"{d}/embeddings.parquet").where("vec_id IS NOT NULL AND embedding IS NOT NULL").toPandas()
+    v = np.stack(pdf.embedding).astype(float)
+    v /= np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-12)
+    got = ann.op10(spark, d).toPandas()
+    row = {i: r for r, i in enumerate(pdf.vec_id)}
+    hit = total = 0
+    for q, g in got.groupby("query_id"):
+        s = v @ v[row[q]]
+        s[row[q]] = -9
+        true = np.sort(s)[::-1][:5]
+        hit, total = hit + int((g.score.to_numpy() >= true[-1] - 1e-9).sum()), total + 5
+    assert total == 5 * (pdf.vec_id % 50 == 0).sum()
+    print(d, hit / total)
+    assert hit / total >= 0.93, hit / total
+
+
 def test_span_hashes_depend_on_the_bytes_alone():
     data = np.frombuffer(b"abcd abcd xabcd", np.uint8)
     h = span_hashes(data, np.array([0, 5, 11, 10]), np.array([4, 9, 15, 15]))
