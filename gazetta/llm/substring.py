@@ -93,7 +93,7 @@ def repeated_spans(docs: DataFrame, run: int = RUN) -> DataFrame:
     total = all_chunks.count()
     shared = cut(all_chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_rows")).where("n_rows > 1"))
     hits = join_by_counts(all_chunks, shared, "digest", total).where("again OR first < doc_id")
-    spans = hits.groupBy("doc_id", "body").agg(F.array_sort(F.collect_list(F.struct("at", "end", "first"))).alias("spans"))
+    spans = hits.groupBy("doc_id", "body").agg(F.array_sort(F.collect_set(F.struct("at", "end", "first"))).alias("spans"))  # a set: rows may repeat
     none = F.array().cast("array<struct<at:int,end:int,first:array<bigint>>>")
     item = lambda at, end, first: F.struct(at.alias("at"), end.alias("end"), first.alias("first"))
     last = lambda acc: F.element_at(acc, -1)
@@ -101,7 +101,7 @@ def repeated_spans(docs: DataFrame, run: int = RUN) -> DataFrame:
         "spans", none,
         lambda acc, x: F.when((F.size(acc) > 0) & (last(acc)["end"] == x["at"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(item(last(acc)["at"], x["end"], F.array_union(last(acc)["first"], F.array(x["first"])))))).otherwise(F.concat(acc, F.array(item(x["at"], x["end"], F.array(x["first"]))))),
     )
-    return spans.select("doc_id", "body", F.filter(F.array_distinct(joins), lambda x: x["end"] - x["at"] >= run).alias("spans")).where(F.size("spans") > 0)
+    return spans.select("doc_id", "body", F.filter(joins, lambda x: x["end"] - x["at"] >= run).alias("spans")).where(F.size("spans") > 0)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:

@@ -162,6 +162,20 @@ def test_substrings_against_brute_force(spark, rng):
     assert passage not in out[5].text and passage in out[3].text
 
 
+def test_substrings_of_repeated_rows(spark):
+    """A row that repeats id and text loses the same runs as a single one, each byte counted once."""
+    own = random.Random(11)
+    passage = words(own, 70)
+    texts = {1: words(own, 40) + " " + passage, 2: words(own, 30) + " " + passage + " " + words(own, 30)}
+    want = brute_spans(texts)[2]
+    assert len(want) == 1
+    (raw,) = [texts[2].encode()]
+    assert sum(want[0][0] < e < want[0][1] for e in substring.cuts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0]) >= 3
+    df = spark.createDataFrame([(1, texts[1]), (2, texts[2]), (2, texts[2])], DOCS)
+    out = [r for r in substring.dedup_substrings(df).collect() if r.doc_id == 2]
+    assert [[(s.at, s.end) for s in r.removed_spans or []] for r in out] == [want, want]
+
+
 def test_chunks_resist_insertions(rng):
     text = words(rng, 400)
     ends = lambda t: substring.cuts(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0]
