@@ -11,7 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, drop_cut, hot_rows, join_by_counts
@@ -40,19 +40,25 @@ def _signed(x: int) -> int:
 
 
 def bucketed(nodes: DataFrame, radius: int, n: int) -> DataFrame:
-    """nodes (node, fp) in buckets: rows (bucket, part, node, fp), sorted by them within partitions.
+    """nodes (node, fp) in buckets by blocks of their fingerprints: rows (bucket, part, node, fp)."""
+    blocks = block_keys(radius, block_count(n, radius))
+    return by_keys(nodes, [F.col("fp").bitwiseAND(F.lit(_signed(m))) for _, m in blocks], n, "fp")
+
+
+def by_keys(nodes: DataFrame, keys: list[Column], n: int, *own: str) -> DataFrame:
+    """nodes (node, own) in a bucket for each key: rows (bucket, part, node, own), sorted by the first two within partitions.
 
     Buckets with one member go; a large bucket of k pieces becomes k (k - 1) / 2 parts, one for each pair of pieces.
     """
-    keys = F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("k")) for i, m in block_keys(radius, block_count(n, radius))])
-    rows = nodes.select("node", "fp", F.explode(keys).alias("k")).select(F.xxhash64("k.i", "k.k").alias("bucket"), "node", "fp")
-    most = max(PIECE, hot_rows(n * len(block_keys(radius, block_count(n, radius)))))
+    each = F.array(*[F.struct(F.lit(i).alias("i"), k.alias("k")) for i, k in enumerate(keys)])
+    rows = nodes.select("node", *own, F.explode(each).alias("k")).select(F.xxhash64("k.i", "k.k").alias("bucket"), "node", *own)
+    most = max(PIECE, hot_rows(n * len(keys)))
     hot = F.broadcast(rows.groupBy("bucket").count().where(F.col("count") > most).select("bucket", F.ceil(2 * F.col("count") / most).cast("int").alias("pieces")))
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("pieces")).cast("int")
     other = F.explode(F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda j: j != F.col("mine")))
     wide = rows.join(hot, "bucket").withColumn("mine", mine).withColumn("other", other)
-    wide = wide.select("bucket", (F.least("mine", "other") * F.col("pieces") + F.greatest("mine", "other")).alias("part"), "node", "fp")
-    small = rows.join(hot, "bucket", "left_anti").select("bucket", F.lit(-1).alias("part"), "node", "fp")
+    wide = wide.select("bucket", (F.least("mine", "other") * F.col("pieces") + F.greatest("mine", "other")).alias("part"), "node", *own)
+    small = rows.join(hot, "bucket", "left_anti").select("bucket", F.lit(-1).alias("part"), "node", *own)
     return small.unionByName(wide).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
 
 

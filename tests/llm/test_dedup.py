@@ -272,6 +272,31 @@ def test_line_dedup_against_brute_force(spark, rng):
     assert len(out) == len(texts) + 3
 
 
+def test_near_lines_are_found(spark):
+    """Real lines of all lengths, each with a copy in which a letter or a word differs: nearly all copies go."""
+    own = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text <> ''").orderBy("doc_id").limit(400).collect()
+    norm = sorted(set(brute_lines({r.doc_id: r.text for r in docs}).values()))
+    norm = [x for x in norm if 25 <= len(x) <= 900]
+    own.shuffle(norm)
+    rows = []
+    for i, x in enumerate(norm[:600]):
+        w = x.split()
+        if i % 2:
+            at = own.randrange(len(x))
+            y = x[:at] + "q" + x[at + 1 :]
+        else:
+            w[own.randrange(len(w))] = "zorblat"
+            y = " ".join(w)
+        if len(y.split()) >= lines.MIN_WORDS and x != y and lines.similar(x, y):
+            rows += [(i, x), (10000 + i, y)]
+    df = spark.createDataFrame(rows, DOCS)
+    gone = {r.doc_id for r in lines.dedup_lines(df, radius=None).where("removed_lines IS NOT NULL").collect()}
+    found = sum(i in gone for i, _ in rows if i >= 10000)
+    print("near lines found", found, "of", len(rows) // 2)
+    assert found >= 0.95 * len(rows) / 2
+
+
 def test_similarity_is_that_of_lengths():
     assert lines.similar("abcdefghij", "abcdefghXX") and not lines.similar("abcdefghij", "abcdefgXXX")
     assert lines.similar("", "")
