@@ -318,6 +318,14 @@ def segmentation(spark, d):
     return S.log(rows, authority, T.name_index(authority), T.alias_index(D.aliases(spark, d))).select("row_id", "decision", "segments")
 
 
+@query()
+def segmentation_log(spark, d):
+    """All places: every string of one term, accepted or rejected, with the reason. No SQL twin: SQL cannot walk the pieces."""
+    authority = D.authority(spark, d)
+    rows = D.places(spark, d).select("row_id", X.split_terms(F.col("place")).alias("terms"))
+    return S.log(rows, authority, T.name_index(authority), T.alias_index(D.aliases(spark, d)))
+
+
 # A made-up answer for each place, so that measures have all kinds of rows.
 _ANSWERS = """, answers AS (SELECT row_id, guid, place AS original, frequency::BIGINT AS frequency, label, CASE WHEN row_id % 5 = 0 THEN '' WHEN row_id % 7 = 0 THEN 'C' || (row_id + 1) ELSE 'C' || row_id END AS authority_id,
   CASE WHEN row_id % 5 = 0 THEN CASE WHEN row_id % 2 = 0 THEN 'chain_amb' ELSE 'no_auth_match' END WHEN row_id % 3 = 0 THEN 'parent_resolved' ELSE 'chain_verified' END AS match_type,
@@ -472,6 +480,13 @@ def drop_reasons(spark, d):
     return df.groupBy(F.coalesce("reason", F.lit("usable")).alias("reason")).agg(F.count("*").alias("rows"))
 
 
+@query(scored_sql("SELECT coalesce(CASE WHEN row_id % 11 = 0 THEN 'not_verified' WHEN authority_id = '' THEN 'no_authority_id' WHEN authority_id NOT IN (SELECT uuid FROM authority) THEN 'no_pa_record' WHEN lower(original) IN (SELECT lower(place) FROM places WHERE row_id % 10 = 1) THEN 'seen_in_development' END, 'usable') AS reason, count(*) AS rows FROM answers GROUP BY 1"))
+def drop_reasons_of_all(spark, d):
+    pool = answers(spark, d).select(F.col("original").alias("place"), F.when(F.col("row_id") % 11 == 0, "Open").otherwise("Verified").alias("match_status"), "authority_id")
+    df = R.drop_reasons(pool, D.authority(spark, d).select("uuid"), D.places(spark, d).where("row_id % 10 = 1").select("place"))
+    return df.groupBy(F.coalesce("reason", F.lit("usable")).alias("reason")).agg(F.count("*").alias("rows"))
+
+
 @query(f"WITH {D.AUTHORITY_SQL.strip()},{D.PLACES_SQL} SELECT row_id FROM places WHERE lower(place) NOT IN (SELECT lower(place) FROM places WHERE row_id % 3 = 0)")
 def holdout(spark, d):
     p = D.places(spark, d)

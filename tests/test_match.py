@@ -111,3 +111,24 @@ def test_stream(spark, tmp_path):
     q = live.whole_string_answers(stream, index).writeStream.format("memory").queryName("answers").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert {(r.place, r.authority_id) for r in spark.table("answers").collect()} == {("Ely,  UK", "E"), ("x", None)}
+
+
+def test_segmentation_of_all_places(spark):
+    """The log holds every place of one term and several words, of whatever style, and only those."""
+    from gazetta import queries
+    from gazetta.sources import derived as D
+
+    d = "/root/testdata/sf0.001"
+    places = {r.row_id: r.place for r in D.places(spark, d).collect()}
+    looked_at = {i for i, p in places.items() if "," not in p and ";" not in p and len(p.split()) > 1}
+    log = {r.row_id: r for r in queries.segmentation_log(spark, d).collect()}
+    assert set(log) == looked_at and {i % 10 for i in log} > {5}
+    regions = {r.r_name.lower() for r in D.table(spark, d, "region").collect()}
+    for i, r in log.items():
+        assert (r.decision == "accepted") == (r.reason == "")
+        if i % 10 == 5:
+            assert r.decision == "accepted" and r.segments.replace("|", " ") == places[i]
+        elif i % 10 == 7:
+            assert places[i] in regions and (r.decision, r.reason) == ("rejected", "whole_known")
+        else:
+            assert i % 10 == 8 and (r.decision, r.reason) == ("rejected", "stopword")
