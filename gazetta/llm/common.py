@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     held = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not held:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that driver and executors share")
         held = tempfile.mkdtemp(prefix="gazetta-")
         sc.setCheckpointDir(held)
         held = sc.getCheckpointDir()
@@ -148,16 +150,27 @@ def row_sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows, weights=values, minlength=n)
 
 
-def bounded_sample(df: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
-    """At most per_label rows of each label, drawn by a hash of the key: the same rows at every run."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().orderBy(F.desc("count"), label).limit(1000).collect()}
+#: Labels that a sample may be drawn for, and bytes of text that a label gives at most.
+MOST_LABELS, LABEL_BYTES = 1000, 6 << 20
+
+
+def bounded_sample(df: DataFrame, label: str, key: str, per_label: int, size: Column | None = None, most_bytes: int = LABEL_BYTES) -> DataFrame:
+    """At most per_label rows of each label, drawn by a hash of the key: the same rows at every run. With a size, as many of them as hold most_bytes together.
+
+    More than MOST_LABELS labels are an error.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().limit(MOST_LABELS + 1).collect()}
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} values of {label}")
     if not counts:
         return df
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.1 * per_label / n))])
-    drawn = df.where(draw < F.coalesce(share[F.col(label)], F.lit(0.0)))
     order = Window.partitionBy(label).orderBy(F.xxhash64(F.col(key), F.lit(11)), key)
-    return drawn.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_label).drop("_rank")
+    drawn = df.where(draw < F.coalesce(share[F.col(label)], F.lit(0.0))).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_label)
+    if size is not None:
+        drawn = drawn.withColumn("_held", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))).where((F.col("_rank") == 1) | (F.col("_held") <= most_bytes)).drop("_held")
+    return drawn.drop("_rank")
 
 
 #: Bits of a filter by hashed keys: of this size whatever the data.
@@ -178,16 +191,42 @@ def maybe_in(wanted: DataFrame, wanted_hash: Column, own_hash: Column) -> Column
     return word.bitwiseAND(bit(own_hash)) != 0
 
 
-def left_join_few(docs: DataFrame, few: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs with few's further columns, joined on id and hash of the text (_id, _body). Documents that few lacks are not shuffled; few is read twice."""
-    own = F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col))
+def left_join_few(docs: DataFrame, few: DataFrame) -> DataFrame:
+    """docs (id, text, _row) with few's further columns, joined on id and hash of the text (_id, _body). Documents that few lacks are not shuffled; few is read twice."""
+    own = F.xxhash64(F.col("id").cast("long"), F.xxhash64("text"))
     hit = F.coalesce(maybe_in(few, F.xxhash64("_id", "_body"), own), F.lit(False))
-    same = (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_body"))
+    same = (F.col("id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
     joined = docs.where(hit).join(few.hint("merge"), same, "left").drop("_id", "_body")
     nothing = {f.name: F.lit(None).cast(f.dataType) for f in few.schema if f.name not in ("_id", "_body")}
     return joined.unionByName(docs.where(~hit).withColumns(nothing))
 
 
+class Packed:
+    """A table as an operator handles it: `df` has the columns `own` under the operator's names and all others in one, `_row`.
+
+    So no name of a user's column, with points, in another case or the same twice, meets one of the operator's.
+    """
+
+    def __init__(self, df: DataFrame, **own: str):
+        self.names = list(df.columns)
+        self.own = {name: self._place(col) for name, col in own.items()}
+        flat = df.toDF(*[f"c{i}" for i in range(len(self.names))])
+        rest = [F.col(f"c{i}") for i in range(len(self.names)) if i not in self.own.values()]
+        self.df = flat.select(*[F.col(f"c{i}").alias(name) for name, i in self.own.items()], F.struct(*rest, F.lit(0).alias("_")).alias("_row"))
+
+    def _place(self, col: str) -> int:
+        same = [i for i, c in enumerate(self.names) if c == col] or [i for i, c in enumerate(self.names) if c.lower() == col.lower()]
+        if not same:
+            raise ValueError(f"no column {col} among {self.names}")
+        return same[0]
+
+    def back(self, out: DataFrame, **new: Column) -> DataFrame:
+        """The table's columns in their order, own ones as `out` has them; `new` replaces columns of its names or follows."""
+        by_place = {i: name for name, i in self.own.items()}
+        old = [(new[c] if c in new else F.col(by_place[i]) if i in by_place else F.col("_row").getField(f"c{i}")).alias(c) for i, c in enumerate(self.names)]
+        return out.select(*old, *[v.alias(c) for c, v in new.items() if c not in self.names])
+
+
 def with_fields(df: DataFrame, ddl: str) -> StructType:
     """df's schema and more fields."""
     return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, crc_bucket, lowered, runs, sliced, table, utf8, with_fields
+from .common import Packed, bounded_sample, crc_bucket, lowered, runs, sliced, table, utf8, with_fields
 
 #: Hash slots of the letter sequences' scores; sequences of 3 and 4 bytes share them.
 SLOTS = 1 << 16
@@ -154,26 +154,27 @@ def spans(model: Model, texts: list[str | None], penalty: float = SWITCH) -> lis
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model:
-    """A model from at most per_language texts of each language among the rows that `learn` allows."""
+    """A model from at most per_language texts of each language, and LABEL_BYTES of text, among the rows that `learn` allows."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return train([(r["lang"], r["text"]) for r in bounded_sample(known, "lang", "doc_id", per_language).select("lang", "text").collect()])
+    return train([(r["lang"], r["text"]) for r in bounded_sample(known.select("doc_id", "lang", "text"), "lang", "doc_id", per_language, F.octet_length("text")).select("lang", "text").collect()])
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH) -> DataFrame:
-    """df with lang_pred, score and mixed (share of each language on the path).
+    """df with lang_pred, score and shares (of each language on the path), in place of columns of these names; all others stay.
 
     lang_pred: the language of most letters on the path; score: its share of them. Null texts and texts without
-    a letter get `und` and 0, as do all if nothing was learned. Ties go to the language first in the alphabet.
+    a letter get `und` and 0, as do all if nothing was learned. Ties go to the language first in the alphabet. Long texts are read whole, repeated rows get
+    the same answer, an empty table stays empty.
     """
-    kept = [c for c in df.columns if c not in ("lang_pred", "score", "shares")]
-    given = df.select(*kept, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = with_fields(given.select(*kept), "lang_pred string, score double, shares map<string,double>")
+    packed = Packed(df, text=text_col)
+    given = packed.df.withColumn("letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    schema = with_fields(packed.df, "lang_pred string, score double, shares map<string,double>")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sliced(batches, "_text", 12 << 20):
+        for group in sliced(batches, "text", 12 << 20):
             size, rows, scores, done = [], [], [], 0
-            for b in sliced(iter([group]), "_text", 2 << 20):
-                s, r, w = model.word_scores(*utf8(b.column("_text")))
+            for b in sliced(iter([group]), "text", 2 << 20):
+                s, r, w = model.word_scores(*utf8(b.column("text")))
                 size.append(s)
                 rows.append(r + done)
                 scores.append(w)
@@ -181,16 +182,16 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", penalty: float
             size, rows, k = np.concatenate(size), np.concatenate(rows), len(model.langs)
             path = viterbi(np.concatenate(scores), np.bincount(rows, minlength=done), penalty)
             held = np.bincount(rows * max(k, 1) + path, weights=size, minlength=done * max(k, 1)).reshape(done, max(k, 1))
-            letter = group.column("_letter").to_numpy(zero_copy_only=False) & bool(k)
+            letter = group.column("letter").to_numpy(zero_copy_only=False) & bool(k)
             total = held.sum(1)
             share = held / np.maximum(total, 1)[:, None]
             names = np.array([*model.langs, UNKNOWN], object)
             lang = names[np.where(letter, held.argmax(1), len(model.langs))]
             shares = [[(model.langs[j], float(v)) for j, v in enumerate(row) if v > 0] if k and ok else [] for row, ok in zip(share, letter)]
             out = [pa.array(lang, pa.string()), pa.array(np.where(letter, share.max(1), 0.0)), pa.array(shares, pa.map_(pa.string(), pa.float64()))]
-            yield pa.record_batch([*[group.column(c) for c in kept], *out], names=[*kept, "lang_pred", "score", "shares"])
+            yield pa.record_batch([*group.columns[:-1], *out], names=schema.names)
 
-    return given.mapInArrow(each, schema)
+    return packed.back(given.mapInArrow(each, schema), **{c: F.col(c) for c in ("lang_pred", "score", "shares")})
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, bounded_sample, crc_bucket, lowered, runs, sliced, span_hashes, table, utf8, with_fields
+from .common import SPACE, Packed, bounded_sample, crc_bucket, lowered, runs, sliced, span_hashes, table, utf8, with_fields
 
 #: Hash slots, width of the vectors, length of character sequences in bytes.
 SLOTS, WIDTH, GRAM = 1 << 17, 16, 4
@@ -87,30 +87,33 @@ def train(rows: list[tuple[int, str]], prior: float | None = None, seed: int = 7
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_LABEL) -> Model:
-    """A model from the quality labels of rows that `learn` allows, at most per_label texts of each label.
+    """A model from the quality labels of rows that `learn` allows, at most per_label texts of each label and LABEL_BYTES of text.
 
-    Labels other than 0 and 1 and null texts are left out; of several labels of one document the largest counts.
+    Labels other than 0 and 1 and null texts are left out; of several labels of one document the largest counts, of several texts the smallest.
     """
     known = labels.where(learn & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     drawn = bounded_sample(known, "quality", "doc_id", per_label)
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id").orderBy("doc_id").collect()
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    rows = bounded_sample(texts, "quality", "doc_id", per_label, F.octet_length("text")).orderBy("doc_id").collect()
     total = sum(counts.values())
     return train([(r["quality"], r["text"]) for r in rows], counts.get(1, 0) / total if total else None)
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """df with score and predicted. Null and empty texts get what the label shares alone say; an empty table stays empty."""
-    kept = [c for c in df.columns if c not in ("score", "predicted")]
-    given = df.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = with_fields(given.select(*kept), "score double, predicted int")
+    """df with score and predicted, in place of columns of these names; all others stay, whatever their names.
+
+    Null and empty texts get what the label shares alone say; long texts are read whole; repeated rows are scored alike; an empty table stays empty.
+    """
+    packed = Packed(df, text=text_col)
+    schema = with_fields(packed.df, "score double, predicted int")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, "_text", 2 << 20):
-            s = model.scores(*utf8(b.column("_text")))
-            yield pa.record_batch([*[b.column(c) for c in kept], pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=[*kept, "score", "predicted"])
+        for b in sliced(batches, "text", 2 << 20):
+            s = model.scores(*utf8(b.column("text")))
+            yield pa.record_batch([*b.columns, pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=schema.names)
 
-    return given.mapInArrow(each, schema)
+    return packed.back(packed.df.mapInArrow(each, schema), score=F.col("score"), predicted=F.col("predicted"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, join_by_counts, table
+from .common import Packed, cut, join_by_counts, left_join_few, table
 from .components import connected_components, hamming_links
 
 #: The contract's shingle length in words, hash seed and bits that may differ.
@@ -41,13 +41,18 @@ def majority(digests: bytes) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(bits)).tobytes(), "big")
 
 
+def hashed(texts: pa.Array, words: int) -> pa.Array:
+    """Fingerprints of a string column, as longs; null counts as empty."""
+    fps = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in texts.cast(pa.binary())], np.uint64)
+    return pa.array(fps.view(np.int64))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE) -> DataFrame:
     """(doc_id, fp long), one row for each row of docs; null text counts as empty."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in b.column(1).cast(pa.binary())], np.uint64)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), hashed(b.column(1), words)], names=["doc_id", "fp"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, "doc_id long, fp long")
 
@@ -71,17 +76,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those that have a near-duplicate of smaller id; all columns stay.
+    """docs without those that a near-duplicate stands for; all columns stay, whatever their names.
 
-    Of rows that repeat an id, one stays, the one with the smallest text; rows without id stay.
+    Rows are grouped by their own fingerprints, and of each group the row of smallest id stays, of several the one whose text
+    has the smallest hash, of rows that repeat both one. So rows of one id with unrelated texts all stay. Rows without id
+    stay. Null and empty texts are one group. Only the rows that go, and those that repeat, are shuffled with their texts.
     """
-    gone = near_duplicates(docs, id_col, text_col, radius, words).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    fresh = left.where(F.col(id_col).isNotNull())
-    names = [c for c in docs.columns if c != id_col]
-    best = fresh.groupBy(id_col).agg(F.min_by(F.struct(*names), F.struct(F.col(text_col).isNull(), F.col(text_col))).alias("_row"))
-    one = best.select(id_col, *[F.col("_row").getField(c).alias(c) for c in names]).select(*docs.columns)
-    return one.unionByName(left.where(F.col(id_col).isNull()))
+    packed = Packed(docs, id=id_col, text=text_col)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(1), hashed(b.column(2), words)], names=["id", "body", "fp"])
+
+    given = packed.df.where("id IS NOT NULL").select(F.col("id").cast("long").alias("id"), F.xxhash64("text").alias("body"), "text")
+    rows = cut(given.mapInArrow(each, "id long, body long, fp long"))
+    classes = cut(rows.groupBy("fp").agg(F.min(F.struct("id", "body")).alias("best"), F.count("*").alias("n_rows")))
+    found = connected_components(hamming_links(classes.select(F.col("fp").alias("node"), "fp"), radius, classes.count()))
+    named = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("head", F.coalesce("component", "fp"))
+    heads = named.groupBy("head").agg(F.min("best").alias("first"), F.count("*").alias("n_rows"))
+    ends = join_by_counts(named.select("fp", "head", F.col("n_rows").alias("rows")), heads, "head", classes.count()).select("fp", "first", F.col("rows").alias("n_rows"))
+    decided = join_by_counts(rows, ends, "fp", rows.count()).withColumn("gone", F.struct("id", "body") != F.col("first"))
+    few = cut(decided.groupBy(F.col("id").alias("_id"), F.col("body").alias("_body")).agg(F.max("gone").alias("gone"), F.count("*").alias("n")).where("gone OR n > 1").drop("n"))
+    held = left_join_few(packed.df, few)
+    fresh = held.where("gone IS NULL")
+    once = held.where("NOT gone").dropDuplicates(["id", "text"])
+    return packed.back(fresh.unionByName(once))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, join_by_counts, left_join_few, mixed, sliced, table, utf8
+from .common import SPACE, Packed, cut, join_by_counts, left_join_few, mixed, sliced, table, utf8
 
 #: A chunk has at least MIN bytes and ends after the first white space whose rolling hash has its MASK bits zero,
 #: or after about MAX bytes. WINDOW: bytes that the hash remembers, at most MIN.
@@ -111,14 +111,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     empty texts and rows without id come back as they are, removed_spans null. Rows that repeat both id and text count
     as one document and get the same text; an empty table gives an empty one.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    packed = Packed(docs, id=id_col, text=text_col)
+    plain = packed.df.select(F.col("id").cast("long").alias("doc_id"), "text")
     spans = repeated_spans(plain, run).select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("spans").alias("removed_spans"))
-    held = left_join_few(docs.drop("removed_spans"), cut(spans), id_col, text_col)
-    raw = F.col(text_col).cast("binary")
-    ends = F.concat(F.transform("removed_spans", lambda x: x["at"]), F.array(F.octet_length(text_col)))
+    held = left_join_few(packed.df, cut(spans))
+    raw = F.col("text").cast("binary")
+    ends = F.concat(F.transform("removed_spans", lambda x: x["at"]), F.array(F.octet_length("text")))
     starts = F.concat(F.array(F.lit(0)), F.transform("removed_spans", lambda x: x["end"]))
     pieces = F.zip_with(starts, ends, lambda s, e: F.decode(F.substring(raw, s + 1, e - s), "UTF-8"))
-    return held.withColumn(text_col, F.when(F.col("removed_spans").isNull(), F.col(text_col)).otherwise(F.array_join(pieces, "")))
+    left = held.withColumn("text", F.when(F.col("removed_spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, "")))
+    return packed.back(left, removed_spans=F.col("removed_spans"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

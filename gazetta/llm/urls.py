@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sliced, table, utf8, with_fields
+from .common import Packed, sliced, table, utf8, with_fields
 
 SLOTS, STEPS, RATE, DECAY = 1 << 14, 400, 4.0, 1e-4
 #: Lengths of the character sequences, in bytes.
@@ -99,24 +99,24 @@ def judge(pages: DataFrame, model: Model | None = None, rules: tuple[tuple[str,
     """pages with host, path, rule and verdict: the longest fitting rule's, else the model's.
 
     Null urls and those without :// have empty host and path, fit no rule, and are allowed: nothing speaks against them.
-    Columns of these names that pages has are replaced. Repeated rows are judged alike.
+    Columns of these names that pages has are replaced, all others stay, whatever their names. Urls of any length are read whole;
+    repeated rows are judged alike; an empty table stays empty.
     """
     model = model or train()
     verdicts = dict(rules)
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    parts = pages.select(*kept, host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
-    given = parts.withColumn("rule", rule(F.col("host"), F.col("path"), rules)).withColumn("_both", F.concat("host", "path"))
-    names = [*kept, "host", "path", "rule"]
-    schema = with_fields(given.select(*names), "verdict string")
+    packed = Packed(pages, url=url_col)
+    parts = packed.df.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
+    given = parts.withColumn("rule", rule(F.col("host"), F.col("path"), rules)).withColumn("both", F.concat("host", "path"))
+    schema = with_fields(given, "verdict string")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, "_both"):
-            data, offs = utf8(b.column("_both"))
+        for b in sliced(batches, "both"):
+            data, offs = utf8(b.column("both"))
             p = np.where(np.diff(offs) > 0, model.block(data, offs), 0.0)
             said = [verdicts[r] if r is not None else ("block" if x >= 0.5 else "allow") for r, x in zip(b.column("rule").to_pylist(), p.tolist())]
-            yield pa.record_batch([*[b.column(c) for c in names], pa.array(said, pa.string())], names=[*names, "verdict"])
+            yield pa.record_batch([*b.columns, pa.array(said, pa.string())], names=schema.names)
 
-    return given.mapInArrow(each, schema)
+    return packed.back(given.mapInArrow(each, schema), **{c: F.col(c) for c in ("host", "path", "rule", "verdict")})
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
