@@ -20,7 +20,7 @@ FLOOR = 1.0
 #: The solver ends when no domain is off its target by more than this share, or after ROUNDS passes over tokens and posteriors.
 CLOSE, ROUNDS = 1e-4, 14
 #: Where no growth is asked for: totals to try, as multiples of the least under which no domain shrinks, until all targets are met.
-SLACK = (1.02, 1.1, 1.3, 2.0, 4.0)
+SLACK = (1.02, 1.1, 1.3, 2.0)
 #: Target shares of the domains of `labels` (below): what reads well gains against the rest.
 DOMAINS = {"good": 0.80, "poor": 0.12, "toxic": 0.08}
 
@@ -143,13 +143,11 @@ def solve(features: DataFrame, targets: np.ndarray, floor: float = FLOOR, cap: f
     miss = lambda now: (now - targets) / np.maximum(targets, 1.0)
     history = np.zeros((0, k))
     now, free, every = totals(history)
-    for _ in range(rounds):
-        if np.abs(miss(now)).max() < CLOSE:
-            break
+    while rounds > 0 and np.abs(miss(now)).max() >= CLOSE:
         gram = free + (1e-3 if len(history) else 1.0) * every
         step = np.linalg.solve(gram + 1e-9 * np.trace(gram) * np.eye(k), now - targets)
         for _ in range(4):
-            tried = np.vstack([history, step])
+            tried, rounds = np.vstack([history, step]), rounds - 1
             new, new_free, _ = totals(tried)
             if np.abs(miss(new)).max() < np.abs(miss(now)).max():
                 break
@@ -200,10 +198,12 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], id_col:
     if present.sum() > 0:
         least = (max(1.0, floor) * present / np.maximum(share, 1e-9)).max()
         for total in [present.sum() * growth] if growth else [least * s for s in SLACK]:
+            before = np.abs(gaps).max() or np.inf
             steps, gaps = solve(compact, share * total, floor)
-            if np.abs(gaps).max() < CLOSE:
-                break
-        else:
+            if CLOSE <= np.abs(gaps).max() < 0.8 * before:
+                continue
+            break  # met, or a larger total does not help
+        if np.abs(gaps).max() >= CLOSE:
             said = "targets missed: " + ", ".join(f"{d} by {g:+.4%}" for d, g in zip(domains, gaps))
             if strict:
                 raise ValueError(said)
