@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import Packed, cut, drop_cut, table, with_fields
 
-#: Most distinct words whose ids are kept in the plan as a literal, and most bytes of those words and ids, the frequent first.
-KNOWN_WORDS, KNOWN_BYTES = 1 << 20, 48 << 20
+#: Most distinct words whose ids are kept in the plan as a literal, and most bytes that it takes, the frequent first; its bytes
+#: for a word beside the letters.
+KNOWN_WORDS, KNOWN_BYTES, ENTRY = 1 << 20, 64 << 20, 76
 #: Bytes of a match from which it is not folded as a sequence.
 LONG = 512
 
@@ -111,7 +112,8 @@ class ByteBPE:
         for k, v in ranks.items():
             rows += [(sign(ranks[k[:i]], n) + sign(ranks[k[i:]], n), sign(v, n)) for i in range(1, len(k)) if k[:i] in ranks and k[i:] in ranks]
         self.buckets = power_of_two(len(rows) // 3)
-        self.merges = spark.createDataFrame(pa.table({"key": [k for k, _ in rows], "merged": [v for _, v in rows]}))
+        self.merges = cut(spark.createDataFrame(pa.table({"key": [k for k, _ in rows], "merged": [v for _, v in rows]})))
+        del rows
         self.pieces = spark.createDataFrame(pa.table({"rank": pa.array(ranks.values(), pa.int32()), "piece": pa.array(ranks, pa.binary())}))
 
     def words(self, text: Column) -> Column:
@@ -151,10 +153,10 @@ class ByteBPE:
         return let(signs, lambda s: F.transform(F.split(s, ""), lambda c: F.ascii(c) - self.base))
 
     def vocabulary(self, texts: DataFrame) -> tuple[DataFrame, bool]:
-        """(word, ids) of the most frequent distinct words of texts (text), at most known_words of them and known_bytes, and whether any has LONG bytes."""
+        """(word, ids) of the most frequent distinct words of texts (text), at most known_words of them and known_bytes, and whether any word has LONG bytes."""
         counts = cut(texts.select(F.explode(self.words(F.col("text"))).alias("word")).groupBy("word").count())
         size = F.floor(F.log2("count") * 8).cast("int")
-        by_size = counts.groupBy(size.alias("size")).agg(F.count("*").alias("words"), F.sum(F.octet_length("word") + 24).alias("bytes"), F.max(F.octet_length("word")).alias("longest")).collect()  # a few hundred sizes at most
+        by_size = counts.groupBy(size.alias("size")).agg(F.count("*").alias("words"), F.sum(F.octet_length("word") + ENTRY).alias("bytes"), F.max(F.octet_length("word")).alias("longest")).collect()  # a few hundred sizes at most
         least, words, bytes_ = 1 << 30, self.known_words, self.known_bytes
         for r in sorted(by_size, key=lambda r: -r["size"]):
             words, bytes_ = words - r["words"], bytes_ - r["bytes"]
@@ -171,7 +173,7 @@ class ByteBPE:
         packed = Packed(df, text=text_col)
         given = packed.df
         known, some_long = self.vocabulary(given.select("text"))
-        buckets = power_of_two(self.known_words // 4)
+        buckets = power_of_two(known.count() // 4)
         maps = hash_map(known, "word", "ids", buckets).scalar()
         one = lambda m, k, w: F.coalesce(look_up(k, w, buckets), self.merged(m, w))
         ids = let(F.struct("ranks", "known"), lambda x: F.flatten(F.transform(self.words(F.col("text")), lambda w: one(x["ranks"], x["known"], w))))
@@ -214,9 +216,9 @@ class ByteBPE:
         return packed.back(out, **{bytes_col: F.col("both.bytes")})
 
 
-def coded(docs: DataFrame, path: str) -> DataFrame:
+def coded(docs: DataFrame, path: str, known_bytes: int = KNOWN_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of documents, through their ids and bytes."""
-    bpe = ByteBPE(docs.sparkSession, path)
+    bpe = ByteBPE(docs.sparkSession, path, known_bytes=known_bytes)
     out = bpe.decode(bpe.encode(docs.select("doc_id", "text")).drop("text"))
     ids = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -16,6 +16,8 @@ from .common import Packed, bounded_sample, crc_bucket, lowered, runs, sliced, t
 SLOTS = 1 << 16
 #: Training texts per language at most, drawn by a hash of the id.
 PER_LANGUAGE = 1500
+#: Most bytes of text that a language gives.
+FIT_BYTES = 2 << 20
 #: What a change of language costs on the path, in nats; and a word in a script that its language lacks.
 SWITCH, FOREIGN = 12.0, 30.0
 #: Scripts by ranges of a character's first byte in UTF-8 (fixed values of the encoding): Latin; Greek; Cyrillic;
@@ -154,9 +156,9 @@ def spans(model: Model, texts: list[str | None], penalty: float = SWITCH) -> lis
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model:
-    """A model from at most per_language texts of each language, and LABEL_BYTES of text, among the rows that `learn` allows."""
+    """A model from at most per_language texts of each language, and FIT_BYTES of text, among the rows that `learn` allows."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return train([(r["lang"], r["text"]) for r in bounded_sample(known.select("doc_id", "lang", "text"), "lang", "doc_id", per_language, F.octet_length("text")).select("lang", "text").collect()])
+    return train([(r["lang"], r["text"]) for r in bounded_sample(known.select("doc_id", "lang", "text"), "lang", "doc_id", per_language, F.octet_length("text"), FIT_BYTES).select("lang", "text").collect()])
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH) -> DataFrame:
