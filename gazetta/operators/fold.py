@@ -51,6 +51,11 @@ def under(cands: list[dict], targets: set[str]) -> list[dict]:
     return [c for c in cands if not targets.isdisjoint(c["anc"][: V.CHAIN_HOPS])]
 
 
+def count(term: dict) -> int:
+    """All candidates of a term, of which `cands` holds those that can connect."""
+    return term.get("n", len(term["cands"]))
+
+
 def first_level(cands: list[dict]) -> int | None:
     return next((c["level"] for c in cands if c["level"] is not None), None)
 
@@ -120,6 +125,7 @@ class Walk:
         self.skipped: list[int] = []
         self.open: list[int] = []
         self.steps, self.notes, self.near = [step(r[0])], [], False
+        self.start = r[0]["first"] if "first" in r[0] else first_level(r[0]["cands"])
         for i in range(1, len(r)):
             self.take(i)
 
@@ -128,17 +134,21 @@ class Walk:
         repeats = i < len(self.r) - 1 and t["term"].lower() == self.r[i - 1]["term"].lower()
         good = [] if repeats else under(t["cands"], {c["uuid"] for c in self.confirmed})
         if good:
-            self.level, self.confirmed, self.depth = first_level(self.confirmed), good, self.depth + 1
+            self.level, self.confirmed, self.depth = self.now(), good, self.depth + 1
             self.steps.append(step(t, {c["uuid"] for c in good}))
             return
         self.skipped.append(i)
-        if t["cands"] and not repeats:
+        if count(t) and not repeats:
             self.open.append(i)
 
+    def now(self) -> int | None:
+        """The level of what is confirmed so far."""
+        return self.start if self.depth == 1 else first_level(self.confirmed)
+
     def recover(self) -> None:
         """A skipped term under the confirmed records' parents and near them: a neighbouring county was written."""
         parents = {c["parent"] for c in self.confirmed if c["parent"]}
-        if not self.open or not parents or self.depth < 2 and len(self.confirmed) > 1:
+        if not self.open or not parents or self.depth < 2 and count(self.r[0]) > 1:
             return
         found = []
         for i in self.open:
@@ -153,7 +163,7 @@ class Walk:
             return
         lowest, hit = min(x[0] for x in found), {i for _, i, _ in found}
         chosen = {c["uuid"]: c for level, _, c in reversed(found) if level == lowest}
-        self.level, self.near, self.depth = first_level(self.confirmed), True, self.depth + 1
+        self.level, self.near, self.depth = self.now(), True, self.depth + 1
         self.confirmed = [chosen[u] for u in sorted(chosen)]
         self.skipped = [i for i in self.skipped if i not in hit]
         self.steps += [step(self.r[i], {c["uuid"] for level, j, c in found if j == i and level == lowest}) for i in sorted(hit) if any(j == i and level == lowest for level, j, _ in found)]
@@ -178,7 +188,7 @@ class Walk:
 def walked(r: list[dict], helper: tuple[str, int] | None) -> tuple[dict, bool]:
     if not r:
         return outcome("no_terms", 0), False
-    if not r[0]["cands"]:
+    if not count(r[0]):
         return outcome("no_auth_match", 0), False
     return (one_term(r[0], helper), False) if len(r) == 1 else Walk(r).result()
 
@@ -233,4 +243,5 @@ def decided(rows: DataFrame, stop: DataFrame | None = None, helper: tuple[str, i
             out = [decide(r or [], fs, junk, n, helper) for r, fs, junk, n in zip(*cols)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, kind)], names=[*b.schema.names, "m"])
 
-    return rows.mapInArrow(each, schema).drop("junk", "n_terms")
+    # Of the candidates, only the anchor's are needed after the decision.
+    return rows.mapInArrow(each, schema).drop("junk", "n_terms").withColumn("r", F.slice("r", 1, 1))

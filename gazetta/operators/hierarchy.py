@@ -31,13 +31,17 @@ def chains(authority: DataFrame, hops: int = V.SCOPE_HOPS) -> DataFrame:
     return authority.select("uuid").join(found, "uuid", "left").select("uuid", F.coalesce("anc", F.array().cast("array<string>")).alias("anc"))
 
 
-def supported(level):
-    return level.between(V.LEVEL_LEAST, V.LEVEL_MOST)
+#: The supported levels, least and most, where none are asked for.
+LEVELS = (V.LEVEL_LEAST, V.LEVEL_MOST)
 
 
-def supported_leaf(authority: DataFrame, hops: int = V.SCOPE_HOPS) -> DataFrame:
+def supported(level, levels: tuple[int, int] = LEVELS):
+    return level.between(*levels)
+
+
+def supported_leaf(authority: DataFrame, hops: int = V.SCOPE_HOPS, range_: tuple[int, int] = LEVELS) -> DataFrame:
     """(uuid, leaf): the record itself or its nearest ancestor of a supported level; null where the chain ends before."""
     levels = authority.select(F.col("uuid").alias("anc"), F.col("level").alias("anc_level"))
-    up = ancestors(authority, hops - 1).join(levels, "anc").where(supported(F.col("anc_level")))
+    up = ancestors(authority, hops - 1).join(levels, "anc").where(supported(F.col("anc_level"), range_))
     nearest = up.groupBy("uuid").agg(F.min_by("anc", "hop").alias("above"))
-    return authority.join(nearest, "uuid", "left").select("uuid", F.when(supported(F.col("level")), F.col("uuid")).otherwise(F.col("above")).alias("leaf"))
+    return authority.join(nearest, "uuid", "left").select("uuid", F.when(supported(F.col("level"), range_), F.col("uuid")).otherwise(F.col("above")).alias("leaf"))

@@ -1,6 +1,6 @@
 """Candidates brought to the rows, and the tables made of the fold's outcomes: results, ties, provenance, defects.
 
-A row holds its terms from right to left, each with its candidates: array<struct<i, term, toks, cands>>, a candidate being
+A row holds its terms from right to left, each with its candidates: array<struct<i, term, toks, cands, n, first>>, a candidate being
 struct<uuid, origin, span, level, pop, hist, jur, toks, parent, anc, lat, lon, plat, plon, pname, name, freq>, ordered by uuid.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vocab as V
+from ..sources.shared import cut
 
 
 def none(kind: str) -> Column:
@@ -23,30 +24,75 @@ def record_columns(authority: DataFrame, chain: DataFrame) -> DataFrame:
     return authority.join(up, "parent", "left").join(chain, "uuid", "left").select("uuid", "level", F.coalesce("population", F.lit(0).cast("long")).alias("pop"), (F.coalesce("historical", F.lit("")) != "").alias("hist"), F.coalesce("jurisdiction", F.lit("")).alias("jur"), X.name_tokens(F.col("name")).alias("toks"), "parent", "anc", "lat", "lon", "plat", "plon", "pname", "name")
 
 
-def candidate_arrays(found: DataFrame, records: DataFrame, frequencies: DataFrame | None) -> DataFrame:
-    """(key, cands): one array a key, so that a common term's candidates are joined to rows as one value. Records that the authority lacks stay."""
+def candidate_rows(found: DataFrame, records: DataFrame, frequencies: DataFrame | None) -> DataFrame:
+    """(key, c): a row for each candidate, with all that the fold needs of it. Records that the authority lacks stay."""
     rows = found.join(records, "uuid", "left")
     if frequencies is None:
         rows = rows.withColumn("freq", F.lit(0).cast("long"))
     else:
         rows = rows.join(frequencies.groupBy("key", "uuid").agg(F.max("freq").cast("long").alias("freq")), ["key", "uuid"], "left").withColumn("freq", F.coalesce("freq", F.lit(0).cast("long")))
     fields = ["uuid", "origin", "span", "level", F.coalesce("pop", F.lit(0).cast("long")).alias("pop"), F.coalesce("hist", F.lit(False)).alias("hist"), F.coalesce("jur", F.lit("")).alias("jur"), "toks", "parent", F.coalesce("anc", none("string")).alias("anc"), "lat", "lon", "plat", "plon", "pname", "name", "freq"]
-    return rows.select("key", F.struct(*fields).alias("c")).groupBy("key").agg(F.array_sort(F.collect_list("c"), lambda a, b: F.when(a["uuid"] < b["uuid"], -1).when(a["uuid"] > b["uuid"], 1).otherwise(0)).alias("cands"))
+    return rows.select("key", F.struct(*fields).alias("c"))
 
 
-def with_candidates(parsed: DataFrame, arrays: DataFrame) -> DataFrame:
-    """parsed (row_id, terms) with its terms from right to left, each with its candidates."""
-    exploded = parsed.select("row_id", F.posexplode(F.reverse("terms")).alias("i", "term")).withColumn("key", F.lower("term"))
-    joined = exploded.join(arrays, "key", "left")
+def by_uuid(cands: Column | str) -> Column:
+    return F.array_sort(cands, lambda a, b: F.when(a["uuid"] < b["uuid"], -1).when(a["uuid"] > b["uuid"], 1).otherwise(0))
+
+
+def candidate_arrays(rows: DataFrame) -> DataFrame:
+    """(key, cands, n, first): one array a key, so that a common term's candidates are joined to rows as one value; n: how many, first: the first one's level."""
+    arrays = rows.groupBy("key").agg(by_uuid(F.collect_list("c")).alias("cands"))
+    return arrays.withColumns({"n": F.size("cands"), "first": F.get(F.filter("cands", lambda c: c["level"].isNotNull()), F.lit(0))["level"]})
+
+
+def connected(pairs: DataFrame, cands: DataFrame) -> DataFrame:
+    """(k1, k2, c): of the terms k1 that stand beside k2 in some string, the candidates that the fold can connect with one of k2.
+
+    They lie under a candidate of k2 or under the parent of one, or are themselves, or their parent is, above one: all else
+    has no part in a chain of the two terms. Ids only are joined, once for each distinct pair; records follow for what is left.
+    """
+    ids = cands.select("key", F.col("c.uuid").alias("uuid"), F.col("c.parent").alias("parent"), F.slice("c.anc", 1, V.CHAIN_HOPS).alias("anc"))
+    self_or_parent = F.explode(F.array_compact(F.array("uuid", "parent"))).alias("t")
+    up = ids.select("key", "uuid", F.explode("anc").alias("t"))
+    targets = ids.select(F.col("key").alias("k2"), self_or_parent).distinct()
+    above = up.select(F.col("key").alias("k2"), "t").distinct()
+    of = lambda rows: pairs.join(rows.withColumnRenamed("key", "k1"), "k1")
+    below = of(up).join(targets, ["k2", "t"], "left_semi").select("k1", "k2", "uuid")
+    over = of(ids.select("key", "uuid", self_or_parent)).join(above, ["k2", "t"], "left_semi").select("k1", "k2", "uuid")
+    kept = below.unionByName(over).distinct()
+    return kept.join(cands.select(F.col("key").alias("k1"), F.col("c.uuid").alias("uuid"), "c"), ["k1", "uuid"]).select("k1", "k2", "c")
+
+
+#: A string of more terms keeps all candidates of each: its pairs of terms would outnumber them.
+MANY_TERMS = 32
+
+
+def with_candidates(parsed: DataFrame, cands: DataFrame) -> DataFrame:
+    """parsed (row_id, terms) with r: its terms from right to left, each with its candidates.
+
+    The first from the right has all of them, as they are ranked if nothing connects; the others those that connect with
+    another term of the string. n and first tell of all candidates.
+    """
+    arrays = cut(candidate_arrays(cands))
+    exploded = parsed.select("row_id", F.size("terms").alias("of"), F.posexplode(F.reverse("terms")).alias("i", "term")).withColumn("key", F.lower("term"))
+    whole = (F.col("i") == 0) | (F.col("of") > MANY_TERMS)
+    narrow = exploded.where(~whole).select("row_id", "i", F.col("key").alias("k1"))
+    beside = exploded.where(F.col("of") <= MANY_TERMS).select("row_id", F.col("i").alias("j"), F.col("key").alias("k2"))
+    asked = cut(narrow.join(beside, "row_id").where("i <> j").select("row_id", "i", "k1", "k2"))
+    near = cut(connected(asked.select("k1", "k2").distinct(), cands).groupBy("k1", "k2").agg(F.collect_list("c").alias("some")))
+    some = asked.join(near, ["k1", "k2"]).groupBy("row_id", "i").agg(by_uuid(F.array_distinct(F.flatten(F.collect_list("some")))).alias("some"))
     empty = F.array().cast(arrays.schema["cands"].dataType)
-    item = F.struct("i", "term", X.name_tokens(F.col("term")).alias("toks"), F.coalesce("cands", empty).alias("cands"))
-    r = joined.groupBy("row_id").agg(F.collect_list(item).alias("r"))
+    fields = ("row_id", "i", "term", "cands", "n", "first")
+    full = exploded.where(whole).join(arrays, "key", "left").select(*fields)
+    few = exploded.where(~whole).join(arrays.select("key", "n", "first"), "key", "left").join(some, ["row_id", "i"], "left").withColumnRenamed("some", "cands").select(*fields)
+    item = F.struct("i", "term", X.name_tokens(F.col("term")).alias("toks"), F.coalesce("cands", empty).alias("cands"), F.coalesce("n", F.lit(0)).alias("n"), "first")
+    r = full.unionByName(few).groupBy("row_id").agg(F.collect_list(item).alias("r"))
     ordered = F.array_sort("r", lambda a, b: a["i"] - b["i"])
     return parsed.join(r.withColumn("r", ordered), "row_id", "left")
 
 
-def result_rows(decided_rows: DataFrame, authority: DataFrame, leaves: DataFrame) -> DataFrame:
-    """The 24 columns of an answer; record fields are blank unless it is resolved. Lists stay arrays."""
+def result_rows(decided_rows: DataFrame, authority: DataFrame, leaves: DataFrame, levels: tuple[int, int] = (V.LEVEL_LEAST, V.LEVEL_MOST)) -> DataFrame:
+    """The 24 columns of an answer; record fields are blank unless it is resolved. Lists stay arrays. levels: those that count as supported."""
     m = decided_rows.select("row_id", "place", "guid", "frequency", "m", F.when(F.size("m.ids") > 0, F.col("m.ids")).otherwise(F.col("m.tied")).alias("all"))
     chain = F.coalesce("type_ahead", F.lit("")) if "type_ahead" in authority.columns else F.lit("")
     info = authority.join(leaves, "uuid", "left").select("uuid", F.coalesce("name", F.lit("")).alias("name"), chain.alias("chain"), F.coalesce("jurisdiction", F.lit("")).alias("jur"), "level", "leaf")
@@ -56,7 +102,7 @@ def result_rows(decided_rows: DataFrame, authority: DataFrame, leaves: DataFrame
     df = m.join(got, "row_id", "left").withColumn("top", F.get("c", F.lit(0)))
     kind = F.coalesce(F.element_at(X.literal_map(V.KIND), F.col("m.type")), F.lit("resolved"))
     resolved = (kind == "resolved") & F.col("top").isNotNull()
-    out_of_range = lambda lv: lv.isNotNull() & ~lv.between(V.LEVEL_LEAST, V.LEVEL_MOST)
+    out_of_range = lambda lv: lv.isNotNull() & ~lv.between(*levels)
     blank = lambda c: F.when(resolved, F.coalesce(c, F.lit(""))).otherwise("")
     return df.select(
         "row_id", F.col("place").alias("original"), "guid", "frequency", F.col("m.type").alias("match_type"),

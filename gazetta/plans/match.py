@@ -41,10 +41,10 @@ def parse(entries: DataFrame) -> DataFrame:
     return entries.withColumn("terms", X.split_terms(F.col("place")))
 
 
-def match(entries: DataFrame, src: Sources, segment: bool = True, helper: str | None = None, countries: bool = False) -> Matched:
+def match(entries: DataFrame, src: Sources, segment: bool = True, helper: str | None = None, countries: bool = False, levels: tuple[int, int] = H.LEVELS) -> Matched:
     """Answers for entries (row_id, place, guid, frequency).
 
-    Distinct terms are looked up once each; their candidates return to the rows as one array a term; the rest is row by row.
+    Distinct terms are looked up once each; pairs of terms that occur keep the candidates that connect; these return to the rows, and the rest is row by row.
     """
     authority = cut(src.authority)
     names, index = cut(T.name_index(authority)), cut(T.alias_index(src.aliases))
@@ -55,29 +55,29 @@ def match(entries: DataFrame, src: Sources, segment: bool = True, helper: str |
     parsed = cut(parsed.withColumn("terms", X.drop_noise(F.col("terms"))))
     terms = cut(C.distinct_terms(parsed))
     found = cut(C.candidates(terms, authority, names, index, src.stop, src.dictionary, countries))
-    arrays = M.candidate_arrays(C.with_folding(found), M.record_columns(authority, chain), src.frequencies)
+    cands = cut(M.candidate_rows(C.with_folding(found), M.record_columns(authority, chain), src.frequencies))
     fs = C.whole_strings(parsed, T.whole_string_index(src.aliases), authority)
-    rows = M.with_candidates(parsed, arrays).join(fs, "row_id", "left")
+    rows = M.with_candidates(parsed, cands).join(fs, "row_id", "left")
     context = M.helper_term(helper, authority, names, chain) if helper else None
     decided = cut(fold.decided(rows, src.stop, context))
-    return Matched(M.result_rows(decided, authority, H.supported_leaf(authority)), decided, found, chain)
+    return Matched(M.result_rows(decided, authority, H.supported_leaf(authority, range_=levels), levels), decided, found, chain)
 
 
-def levels_json(results: DataFrame, provenance: DataFrame) -> DataFrame:
+def levels_json(results: DataFrame, provenance: DataFrame, levels: tuple[int, int] = H.LEVELS) -> DataFrame:
     """(row_id, entry): one JSON document a row, its supported levels by number, the leaf-ward node of each."""
     node = F.struct("depth_from_leaf", F.col("level").alias("level"), F.struct(_blank("raw_term").alias("raw"), "uuid", "name", "jurisdiction", "match_method", _blank("origin").alias("origin")).alias("detail"))
     chain = provenance.groupBy("row_id").agg(F.array_sort(F.collect_list(node)).alias("chain"))
     rows = results.join(chain, "row_id", "left")
-    inside = F.filter("chain", lambda x: x["level"].between(3, 10))
+    inside = F.filter("chain", lambda x: x["level"].between(*levels))
     lowest = F.filter(inside, lambda x: ~F.exists(inside, lambda y: (y["level"] == x["level"]) & (y["depth_from_leaf"] < x["depth_from_leaf"])))
     order = F.array_sort(F.transform(lowest, lambda x: F.struct(x["level"].alias("level"), x["detail"].alias("detail"))), lambda a, b: a["level"] - b["level"])
-    levels = F.map_from_entries(F.transform(order, lambda x: F.struct(x["level"].cast("string"), x["detail"])))
-    below = F.get(F.filter("chain", lambda x: (x["depth_from_leaf"] == 0) & ~F.coalesce(x["level"].between(3, 10), F.lit(False))), F.lit(0))
+    by_level = F.map_from_entries(F.transform(order, lambda x: F.struct(x["level"].cast("string"), x["detail"])))
+    below = F.get(F.filter("chain", lambda x: (x["depth_from_leaf"] == 0) & ~F.coalesce(x["level"].between(*levels), F.lit(False))), F.lit(0))
     entry = F.struct(
         "original", "guid", F.expr("try_cast(frequency AS BIGINT)").alias("frequency"), "match_type", "confidence", "resolution_kind",
         (F.col("resolution_kind") == "tie").alias("ambiguous"), (F.col("resolution_kind") == "suspect").alias("parent_suspect"), F.col("candidates").alias("candidate_count"),
         _blank("supported_leaf_id").alias("leaf_uuid"), F.col("below_supported").alias("matched_below_supported"), "matched_level", "unsupported_in_candidates", "source_encoding_suspect", "source_shape",
-        below["detail"].alias("matched_below"), levels.alias("levels"),
+        below["detail"].alias("matched_below"), by_level.alias("levels"),
     )
     return rows.select("row_id", F.to_json(entry, {"ignoreNullFields": "false"}).alias("entry"))
 

@@ -18,6 +18,7 @@ from .operators import segment as S
 from .plans import match as P
 from .sources import derived as D
 from .sources import tables as T
+from .sources.shared import still_there
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -251,8 +252,18 @@ def sources(spark, d) -> P.Sources:
     return P.Sources(D.authority(spark, d), D.aliases(spark, d), D.term_frequencies(spark, d))
 
 
-def matched(spark, d, **kw) -> P.Matched:
-    return P.match(D.places(spark, d), sources(spark, d), **kw)
+#: The last match of a session: its folder of tables and what it wrote, which the queries below share.
+_LAST: dict[tuple[str, str], P.Matched] = {}
+
+
+def matched(spark, d) -> P.Matched:
+    """The match of a folder's places; results, ties, provenance and the rest read what one match wrote."""
+    key = (spark.sparkContext.applicationId, d)
+    held = _LAST.get(key)
+    if held is None or not all(map(still_there, (held.decided, held.found, held.chain))):
+        _LAST.clear()
+        held = _LAST[key] = P.match(D.places(spark, d), sources(spark, d))
+    return held
 
 
 def flat(results: DataFrame) -> DataFrame:
@@ -533,3 +544,46 @@ def label_verdicts(spark, d):
 @query(f"WITH {D.AUTHORITY_SQL.strip()},{D.PLACES_SQL} SELECT row_id, CASE WHEN regexp_matches(lower(place), '\\b(city|village)\\b') THEN 'jurisdiction suffix' WHEN regexp_matches(lower(place), '\\b(home|farm)\\b') THEN 'names a feature' WHEN upper(place) = place AND lower(place) <> place THEN 'all caps, no other marker' ELSE 'plain place string' END AS shape FROM places")
 def place_shapes(spark, d):
     return D.places(spark, d).select("row_id", X.shape_of(F.col("place")).alias("shape"))
+
+
+@query("SELECT c_custkey AS rank, CASE WHEN c_custkey % 4 = 0 THEN 'correct' WHEN c_custkey % 3 = 0 THEN 'wrong' END AS verdict, coalesce(c_custkey % 4 = 0 AND c_custkey % 3 = 0, false) AS conflict FROM customer")
+def merge_verdicts(spark, d):
+    k = F.col("c_custkey")
+    sheet = D.table(spark, d, "customer").select(k.alias("rank"), F.when(k % 4 == 0, "correct").alias("verdict"))
+    return E.merged_verdicts(sheet, D.table(spark, d, "customer").where("c_custkey % 3 = 0").select(k.alias("rank"), F.lit("wrong").alias("new")))
+
+
+@query("SELECT c_custkey AS rank, CASE WHEN c_custkey % 3 = 0 THEN 'wrong' WHEN c_custkey % 4 = 0 THEN 'correct' END AS verdict, coalesce(c_custkey % 4 = 0 AND c_custkey % 3 = 0, false) AS conflict FROM customer")
+def merge_verdicts_forced(spark, d):
+    k = F.col("c_custkey")
+    sheet = D.table(spark, d, "customer").select(k.alias("rank"), F.when(k % 4 == 0, "correct").alias("verdict"))
+    return E.merged_verdicts(sheet, D.table(spark, d, "customer").where("c_custkey % 3 = 0").select(k.alias("rank"), F.lit("wrong").alias("new")), force=True)
+
+
+@query(scored_sql("SELECT state, count(*) AS rows FROM (SELECT CASE WHEN row_id % 6 = 0 THEN 'unresolved' WHEN row_id % 4 = 0 THEN 'blank' WHEN 'C' || row_id = authority_id THEN 'same' ELSE 'differs' END AS state FROM answers) GROUP BY state"))
+def answer_states(spark, d):
+    old = answers(spark, d).select("row_id", "authority_id")
+    new = old.where("row_id % 6 <> 0").select("row_id", F.when(F.col("row_id") % 4 == 0, " ").otherwise(F.concat(F.lit("C"), "row_id")).alias("authority_id"))
+    return E.compared(old, new, "row_id", "authority_id").groupBy("state").agg(F.count("*").alias("rows"))
+
+
+@query(scored_sql("SELECT guid, flag, frequency FROM (SELECT guid, frequency, unnest(list_filter([CASE WHEN authority_id = '' THEN 'no answer' END, CASE WHEN frequency >= 90 THEN 'frequent' END, CASE WHEN contains(original, ';') THEN 'joined' END], lambda x: x IS NOT NULL)) AS flag FROM answers)"))
+def flagged_answers(spark, d):
+    rules = {"no answer": F.col("authority_id") == "", "frequent": F.col("frequency") >= 90, "joined": F.col("original").contains(";")}
+    return E.flagged(answers(spark, d).select("guid", "original", "frequency", "authority_id"), rules).select("guid", "flag", "frequency")
+
+
+@query()
+def shape_counts(spark, d):
+    """Strings by each tag of their shape, as the matcher's results carry them."""
+    return E.shape_histogram(matched(spark, d).results)
+
+
+@query()
+def match_failures(spark, d):
+    """Why the matcher's answers miss the truth: the class of each row whose verdict is not correct."""
+    m, authority = matched(spark, d), D.authority(spark, d)
+    truth = D.places(spark, d).where("label LIKE 'C%'").select("row_id", F.col("label").alias("truth"))
+    rows = m.results.join(truth, "row_id").select("row_id", "truth", F.col("authority_id").alias("answer"), "match_type", F.split("skipped_terms", "; ").alias("skipped"))
+    verdict = F.when(F.col("answer") == "", "abstain").when(F.col("answer") == F.col("truth"), "correct").otherwise("wrong")
+    return E.failure_class(rows.withColumn("verdict", verdict).where("verdict <> 'correct'"), authority, H.ancestors(authority)).groupBy("failure").agg(F.count("*").alias("rows"))

@@ -24,4 +24,13 @@ def cut(df: DataFrame) -> DataFrame:
         folder = sc.getCheckpointDir()
     path = f"{folder}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def still_there(df: DataFrame) -> bool:
+    """Whether what cut() wrote for df still stands in the folder."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path)
