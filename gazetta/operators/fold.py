@@ -10,8 +10,10 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,6 +53,47 @@ def under(cands: list[dict], targets: set[str]) -> list[dict]:
     return [c for c in cands if not targets.isdisjoint(c["anc"][: V.CHAIN_HOPS])]
 
 
+class Lists:
+    """A column of lists: offsets into one list of values. Null counts as empty."""
+
+    def __init__(self, col: pa.Array):
+        self.ends = [0, *accumulate(n or 0 for n in pc.list_value_length(col).to_pylist())]
+        self.values = pc.list_flatten(col).to_pylist()
+
+    def __getitem__(self, i: int) -> list:
+        return self.values[self.ends[i] : self.ends[i + 1]]
+
+
+class Candidate:
+    """A row of columns, read as a dict of its fields: most candidates are looked at in one or two fields only."""
+
+    __slots__ = ("cols", "i")
+
+    def __init__(self, cols: dict, i: int):
+        self.cols, self.i = cols, i
+
+    def __getitem__(self, field: str):
+        return self.cols[field][self.i]
+
+
+def column(col: pa.Array) -> list | Lists:
+    return Lists(col) if pa.types.is_list(col.type) or pa.types.is_large_list(col.type) else col.to_pylist()
+
+
+def terms_of(r: pa.Array) -> Iterator[list[dict]]:
+    """The terms of each row, with their candidates, from the nested column."""
+    items = pc.list_flatten(r)
+    cands = pc.struct_field(items, "cands")
+    flat = pc.list_flatten(cands)
+    cols = {f.name: column(pc.struct_field(flat, f.name)) for f in flat.type}
+    term, toks, n, first = (column(pc.struct_field(items, f)) for f in ("term", "toks", "n", "first"))
+    ends = [0, *accumulate(k or 0 for k in pc.list_value_length(cands).to_pylist())]
+    at = 0
+    for size in pc.list_value_length(r).to_pylist():
+        yield [{"term": term[i], "toks": toks[i], "n": n[i], "first": first[i], "cands": [Candidate(cols, j) for j in range(ends[i], ends[i + 1])]} for i in range(at, at + (size or 0))]
+        at += size or 0
+
+
 def count(term: dict) -> int:
     """All candidates of a term, of which `cands` holds those that can connect."""
     return term.get("n", len(term["cands"]))
@@ -239,8 +282,8 @@ def decided(rows: DataFrame, stop: DataFrame | None = None, helper: tuple[str, i
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("r", "fs", "junk", "n_terms")]
-            out = [decide(r or [], fs, junk, n, helper) for r, fs, junk, n in zip(*cols)]
+            cols = [b.column(c).to_pylist() for c in ("fs", "junk", "n_terms")]
+            out = [decide(r, fs, junk, n, helper) for r, fs, junk, n in zip(terms_of(b.column("r")), *cols)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, kind)], names=[*b.schema.names, "m"])
 
     # Of the candidates, only the anchor's are needed after the decision.

@@ -35,13 +35,9 @@ def candidate_rows(found: DataFrame, records: DataFrame, frequencies: DataFrame
     return rows.select("key", F.struct(*fields).alias("c"))
 
 
-def by_uuid(cands: Column | str) -> Column:
-    return F.array_sort(cands, lambda a, b: F.when(a["uuid"] < b["uuid"], -1).when(a["uuid"] > b["uuid"], 1).otherwise(0))
-
-
 def candidate_arrays(rows: DataFrame) -> DataFrame:
     """(key, cands, n, first): one array a key, so that a common term's candidates are joined to rows as one value; n: how many, first: the first one's level."""
-    arrays = rows.groupBy("key").agg(by_uuid(F.collect_list("c")).alias("cands"))
+    arrays = rows.groupBy("key").agg(F.sort_array(F.collect_list("c")).alias("cands"))  # by uuid, the first field
     return arrays.withColumns({"n": F.size("cands"), "first": F.get(F.filter("cands", lambda c: c["level"].isNotNull()), F.lit(0))["level"]})
 
 
@@ -80,7 +76,9 @@ def with_candidates(parsed: DataFrame, cands: DataFrame) -> DataFrame:
     beside = exploded.where(F.col("of") <= MANY_TERMS).select("row_id", F.col("i").alias("j"), F.col("key").alias("k2"))
     asked = cut(narrow.join(beside, "row_id").where("i <> j").select("row_id", "i", "k1", "k2"))
     near = cut(connected(asked.select("k1", "k2").distinct(), cands).groupBy("k1", "k2").agg(F.collect_list("c").alias("some")))
-    some = asked.join(near, ["k1", "k2"]).groupBy("row_id", "i").agg(by_uuid(F.array_distinct(F.flatten(F.collect_list("some")))).alias("some"))
+    some = asked.join(near, ["k1", "k2"]).groupBy("row_id", "i").agg(F.sort_array(F.flatten(F.collect_list("some"))).alias("all"))
+    once = F.filter("all", lambda c, i: (i == 0) | (c["uuid"] != F.get(F.col("all"), i - 1)["uuid"]))  # connected with two terms, it comes twice
+    some = some.select("row_id", "i", once.alias("some"))
     empty = F.array().cast(arrays.schema["cands"].dataType)
     fields = ("row_id", "i", "term", "cands", "n", "first")
     full = exploded.where(whole).join(arrays, "key", "left").select(*fields)
