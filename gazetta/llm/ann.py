@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,8 @@ K = 5
 SAMPLE, LISTS, PROBE_SHARE = 16384, 1024, 0.75
 #: Most rows of a list's piece and of a block of queries, on average; columns of a block of dimensions.
 PIECE, QUERIES, COLUMNS = 2048, 256, 16
+#: Lengths of vectors in one table; each is searched apart.
+MOST_LENGTHS = 16
 #: How sure a test must be before it abandons a candidate: larger is surer.
 SURE = 2.1
 
@@ -108,15 +111,19 @@ def nearest(df: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id
     Lists are fitted on at most SAMPLE rows; every row is in a list. A query probes its nearest lists, and more until they
     hold at least k other rows, so that k are found if there are so many. Scores are exact cosines of the original vectors;
     ties go to the smaller vec_id. Null and zero vectors, those with null or non-finite components and rows without id take
-    no part; only vectors of the commonest length are searched; a row that repeats an id counts again. An empty table gives an empty result.
+    no part; vectors meet only those of their own length, each length has its own lists. A row that repeats an id is a
+    neighbour again, but query rows of one id are one query, that of the smallest vector among those of a length. Other columns are not read. An empty table gives an empty result.
     """
-    spark = df.sparkSession
     rows = valid(df, id_col, vector_col).where(F.exists("v", lambda x: x != 0))
-    dims = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, n = dims["d"], dims["count"]
-    rows = rows.where(F.size("v") == dim)
+    dims = rows.groupBy(F.size("v").alias("d")).count().orderBy("d").limit(MOST_LENGTHS + 1).collect()
+    if len(dims) > MOST_LENGTHS:
+        raise ValueError(f"more than {MOST_LENGTHS} lengths of vectors")
+    found = [_nearest(rows.where(F.size("v") == r["d"]), r["d"], r["count"], k, every, probe_share) for r in dims]
+    return reduce(DataFrame.unionByName, found) if found else df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def _nearest(rows: DataFrame, dim: int, n: int, k: int, every: int, probe_share: float) -> DataFrame:
+    """nearest() over n rows (id, v) of one length."""
     draw = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.where(draw < 1.1 * SAMPLE / n).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE).select("v").toPandas()["v"] if n > SAMPLE else rows.orderBy("id").select("v").toPandas()["v"]
     lists = int(min(LISTS, max(1, np.sqrt(n))))
@@ -155,7 +162,7 @@ def nearest(df: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id
             yield pa.record_batch([pa.array(np.concatenate([near[i, :c] for i, c in enumerate(count)] or [np.zeros(0)]).astype(np.int32)), b.column("id").take(pa.array(q)), b.column("v").take(pa.array(q))], names=["list", "id", "v"])
 
     blocks = max(1, -(-n // (every * QUERIES)))
-    asked = members.where(F.col("id") % every == 0).select("id", "v").mapInArrow(probe, "list int, id long, v array<double>")
+    asked = members.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).mapInArrow(probe, "list int, id long, v array<double>")
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(blocks)).cast("int"))
     asked = asked.groupBy("list", "block").applyInPandas(pack("list", "block"), f"list int, block int, {BLOCK}")
     pairs = asked.select("list", "block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")).join(index, "list")

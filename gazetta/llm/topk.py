@@ -108,8 +108,8 @@ def exact_top_k(df: DataFrame, k: int = K, every: int = EVERY, scale: int = 256,
 
     Vectors become floor(scale * x); sums are exact as long as they stay below 2 ** 53. Ties go to the smaller vec_id; fewer
     than k candidates are all returned. Null vectors and vectors with null or non-finite components take no part, nor do
-    rows without id; vectors meet only those of their own length; a row that repeats an id counts again. An empty table
-    gives an empty result. Each block of queries meets its first shard alone; the kth scores found there are floors that all other shards share.
+    rows without id; vectors meet only those of their own length. A row that repeats an id is a candidate again, but
+    query rows of one id are one query, that of the smallest vector among those of a length. Other columns are not read. An empty table gives an empty result. Each block of queries meets its first shard alone; the kth scores found there are floors that all other shards share.
     """
     rows = valid(df, id_col, vector_col).withColumn("dim", F.size("v"))
     n = rows.count()
@@ -125,7 +125,7 @@ def exact_top_k(df: DataFrame, k: int = K, every: int = EVERY, scale: int = 256,
 
     at = lambda m, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(m)).cast("int")
     shard_rows = cut(rows.withColumn("shard", at(shards, 1)).groupBy("dim", "shard").applyInPandas(pack("shard"), f"shard int, {BLOCK}"))
-    query_rows = rows.where(F.col("id") % every == 0).withColumn("block", at(blocks, 2)).groupBy("dim", "block").applyInPandas(pack("block"), f"block int, {BLOCK}")
+    query_rows = rows.where(F.col("id") % every == 0).groupBy("id", "dim").agg(F.min("v").alias("v")).withColumn("block", at(blocks, 2)).groupBy("dim", "block").applyInPandas(pack("block"), f"block int, {BLOCK}")
     query_rows = cut(query_rows.select("block", "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

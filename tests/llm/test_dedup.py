@@ -302,3 +302,35 @@ def test_similarity_is_that_of_lengths():
     assert lines.similar("", "")
     assert difflib.SequenceMatcher(None, "a", "b").ratio() == 0 and not lines.similar("a", "b")
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_keep_one_decides_by_row(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(5, long, 1), (5, "quite other words that stand here for nothing at all but themselves", 2), (7, long, 3), (5, long, 4), (None, long, 5)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, `a.b` int")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, long), (5, long), (5, rows[1][1])])
+
+
+def test_lines_of_one_changed_word_link(spark, rng):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang = 'en'").orderBy("doc_id").limit(60).collect()
+    words = sorted({w for d in docs for w in d.text.split()})
+    texts, n = [], 0
+    for size in (8, 12, 20, 40, 80):
+        for _ in range(30):
+            line = [rng.choice(words) for _ in range(size)]
+            other = list(line)
+            other[rng.randrange(size)] = rng.choice(words)
+            texts += [(2 * n, " ".join(line)), (2 * n + 1, " ".join(other))]
+            n += 1
+    near = {i // 2 for i, t in texts[::2] if lines.similar(t, texts[i + 1][1])}
+    gone = {r.doc_id // 2 for r in lines.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string"), radius=None).where("removed_lines IS NOT NULL").collect()}
+    assert len(gone & near) >= 0.95 * len(near) and len(near) > 100
+
+
+def test_names_that_clash_in_dedup(spark):
+    text = "the same long line of words is here twice over\nand another line of other words"
+    rows = [(1, text, 7, "x"), (1, text, 7, "x"), (2, text, 8, "y"), (3, None, 9, "z")]
+    for names in ("doc_id long, text string, _id int, _body string", "doc_id long, text string, `a.b` int, Text string"):
+        df = spark.createDataFrame(rows, names)
+        for out, n in ((substring.dedup_substrings(df), 4), (lines.dedup_lines(df, radius=None), 4), (simhash.keep_one(df), 2)):
+            assert out.columns[:4] == df.columns and out.count() == n

@@ -259,3 +259,75 @@ def test_span_hashes_depend_on_the_bytes_alone():
     data = np.frombuffer(b"abcd abcd xabcd", np.uint8)
     h = span_hashes(data, np.array([0, 5, 11, 10]), np.array([4, 9, 15, 15]))
     assert h[0] == h[1] == h[2] != h[3]
+
+
+def test_long_matches_as_the_library_makes_them(spark, reference):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("theingofandst") for _ in range(20_000)), "".join(rng.choice("漢字中文的一是不了人我在有他") for _ in range(3000)), " " * 5000 + "x", "word " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = bpe.ByteBPE(spark, MULTI, known_words=64)
+    out = {r.doc_id: r for r in model.decode(model.encode(df)).collect()}
+    for i, t in enumerate(texts):
+        assert list(out[i].ids) == reference.encode_ordinary(t)
+        assert bytes(out[i].decoded) == t.encode()
+
+
+def test_names_that_clash(spark):
+    rows = [(1, "the quick brown fox jumps over it", 7, "x"), (1, "the quick brown fox jumps over it", 7, "x"), (2, None, 8, "y"), (3, "", 9, "z")]
+    for names in ("doc_id long, text string, `a.b` int, _row string", "doc_id long, text string, Text int, ids string", "doc_id long, text string, _text int, id string", "doc_id long, text string, key int, letter string"):
+        df = spark.createDataFrame(rows, names)
+        labels = spark.createDataFrame([(1, "a"), (3, "b")], "doc_id long, domain string")
+        model = bpe.ByteBPE(spark, MULTI)
+        for out in (
+            model.decode(model.encode(df, ids_col="own_ids"), ids_col="own_ids"),
+            mixing.mix(df, labels, {"a": 0.5, "b": 0.5}),
+            quality.score(df, quality.train([(0, "bad"), (1, "good")])),
+            langid.predict(df, langid.train([("en", "the words"), ("de", "der Wort")])),
+            urls.judge(df, url_col="text"),
+        ):
+            assert out.columns[:4] == df.columns and out.count() == 4
+            assert sorted(r[2] for r in out.collect()) == [7, 7, 8, 9]
+
+
+def test_mixing_of_the_test_tables_meets_its_targets(spark):
+    out = mixing.op2(spark, SF).toPandas()
+    mass = np.array([(out.rate * out.tokens * out[f"p_{d}"]).sum() for d in sorted(mixing.DOMAINS)])
+    want = np.array([mixing.DOMAINS[d] for d in sorted(mixing.DOMAINS)])
+    assert np.abs(mass / mass.sum() / want - 1).max() < 2e-4 and (out.rate >= 1 - 1e-12).all()
+
+
+def test_least_squares_against_a_plain_solver(spark):
+    rng = np.random.default_rng(5)
+    p, t = rng.dirichlet([0.4, 0.4, 0.4], 200), rng.integers(5, 80, 200).astype(float)
+    target = (t @ p) * np.array([2.5, 1.4, 1.1])
+    features = spark.createDataFrame([(int(n), row.tolist()) for n, row in zip(t, p)], "tokens long, p array<double>")
+    steps, gaps = mixing.solve(features, target)
+    r = np.ones(200)
+    for _ in range(20_000):  # plain projected gradient on the same scaled problem
+        r = np.maximum(1.0, r - 1e-3 * (p @ ((r * t) @ p - target)) / t.max())
+    plain = np.abs((r * t) @ p / target - 1).max()
+    assert np.abs(gaps).max() <= max(plain, mixing.CLOSE) + 1e-9
+    assert np.allclose((mixing.rates(steps, p) * t) @ p, target * (1 + gaps))
+
+
+def test_targets_that_cannot_be_met_are_named(spark):
+    docs = spark.createDataFrame([(i, "same words here") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, "a"), (1, "b")], "doc_id long, domain string")
+    with pytest.raises(ValueError, match="a by"):
+        mixing.mix(docs, labels, {"a": 0.9, "b": 0.1}, strict=True)
+    with pytest.warns(UserWarning, match="targets missed"):
+        assert mixing.mix(docs, labels, {"a": 0.9, "b": 0.1}).count() == 20
+
+
+@pytest.mark.parametrize("search", [topk.exact_top_k, ann.nearest])
+def test_copies_of_a_query_and_lengths(spark, search):
+    rows, v = vector_rows(120, 8)
+    rows = [(int(r[0]), [float(x) for x in r[1]]) for r in rows if r[1] is not None and len(r[1]) == 8 and all(x is not None and math.isfinite(x) for x in r[1]) and any(r[1])]
+    short = [(1000 + i, x[:5]) for i, x in rows]
+    df = lambda rs: spark.createDataFrame(rs, "vec_id long, embedding array<double>")
+    plain = sorted(map(tuple, search(df(rows)).collect()))
+    copy = [r for r in rows if r[0] % 50 == 0][:1]
+    again = sorted(map(tuple, search(df(rows + copy)).where(f"query_id = {copy[0][0]}").collect()))
+    assert again == [r for r in plain if r[0] == copy[0][0]]
+    both = sorted(map(tuple, search(df(rows + short)).where("query_id < 1000").collect()))
+    assert both == plain and search(df(rows + short)).where("query_id >= 1000").count() == len([1 for i, _ in short if i % 50 == 0]) * 5
