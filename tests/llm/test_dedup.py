@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -334,3 +335,76 @@ def test_names_that_clash_in_dedup(spark):
         df = spark.createDataFrame(rows, names)
         for out, n in ((substring.dedup_substrings(df), 4), (lines.dedup_lines(df, radius=None), 4), (simhash.keep_one(df), 2)):
             assert out.columns[:4] == df.columns and out.count() == n
+
+
+def test_large_groups_of_lines_by_brute_force(spark):
+    """A group compared in pieces connects what comparing all its pairs would: copies of the head, a second family, loners."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    first, second = [word() for _ in range(14)], [word() for _ in range(14)]
+    text = []
+    for i in range(760):
+        base = list(first if i < 600 else second if i < 730 else [word() for _ in range(14)])
+        base[int(rng.integers(14))] = word()
+        text.append(" ".join(base))
+    nodes = [7 * i - 2000 for i in range(len(text))]
+    marks = lines.marks_of(text, None)
+    up = list(range(len(text)))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(text)):
+        for j in lines.near(marks, i, np.arange(i + 1, len(text)), None).tolist():
+            p, q = root(i), root(j)
+            if p != q and lines.similar(text[i], text[j]):
+                up[max(p, q)] = min(p, q)
+    want = {nodes[i]: nodes[root(i)] for i in range(len(text))}
+    for head in (nodes[0], nodes[650], nodes[740]):
+        groups = spark.createDataFrame([(head, n) for n in nodes], "head long, node long")
+        known = spark.createDataFrame(list(zip(nodes, text)), "node long, line string")
+        links = lines.verified_links(groups, known, None, lines.SIMILARITY).collect()
+        assert len(links) < 8 * len(text)
+        got = {n: n for n in nodes}
+
+        def top(x, got=got):
+            while got[x] != x:
+                x = got[x]
+            return x
+
+        for r in links:
+            p, q = top(r.a), top(r.b)
+            got[max(p, q)] = min(p, q)
+        assert {n: top(n) for n in nodes} == want
+
+
+def test_large_buckets_of_candidates(spark):
+    """A bucket above the size compared at once connects the same rows."""
+    rng = np.random.default_rng(6)
+    base = [f"{x} words of a line that many documents repeat with few changes" for x in ("seven", "eleven", "twelve")]
+    text = sorted(base[i % 3] + f" {chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(3 * lines.TOGETHER)) + ["".join(rng.choice(list("abcdef "), 60)) for _ in range(9)]
+    marks = lines.marks_of(text, None).view(np.int64)
+    t = pa.table({"bucket": [1] * len(text), "part": [-1] * len(text), "size": pa.array([len(x) for x in text], pa.int32()), **{c: np.ascontiguousarray(marks[:, i]) for i, c in enumerate(lines.SKETCH)}})
+    a, b = lines.candidates(t, lines.SIMILARITY)
+    m = marks.view(np.uint64)
+    size = np.array([len(x) for x in text])
+    pairs = [(i, j) for i in range(len(text)) for j in range(i) if lines.alike(m[i], m[j]) >= lines.SHARED and min(size[i], size[j]) >= 0.75 * max(size[i], size[j])]
+
+    def parts(pairs):
+        up = list(range(len(text)))
+        for x, y in pairs:
+            while up[x] != x:
+                x = up[x]
+            while up[y] != y:
+                y = up[y]
+            up[max(x, y)] = min(x, y)
+        out = []
+        for x in range(len(text)):
+            while up[x] != x:
+                x = up[x]
+            out.append(x)
+        return out
+
+    assert len(a) < len(text) and parts(zip(a.tolist(), b.tolist())) == parts(pairs)
