@@ -45,10 +45,15 @@ def bucketed(nodes: DataFrame, radius: int, n: int) -> DataFrame:
     return by_keys(nodes, [F.col("fp").bitwiseAND(F.lit(_signed(m))) for _, m in blocks], n, "fp")
 
 
-def by_keys(nodes: DataFrame, keys: list[Column], n: int, *own: str) -> DataFrame:
+#: Roles of rows in parts of large buckets: any row, a row in the first of its parts, the bucket's least node.
+OTHER, FIRST, HUB = 0, 1, 2
+
+
+def by_keys(nodes: DataFrame, keys: list[Column], n: int, *own: str, hubs: bool = False) -> DataFrame:
     """nodes (node, own) in a bucket for each key: rows (bucket, part, node, own), sorted by the first two within partitions.
 
     Buckets with one member go; a large bucket of k pieces becomes k (k - 1) / 2 parts, one for each pair of pieces.
+    With hubs, the least node of a large bucket is in each of its parts as well, and a column `role` tells the rows apart.
     """
     each = F.array(*[F.struct(F.lit(i).alias("i"), k.alias("k")) for i, k in enumerate(keys)])
     rows = nodes.select("node", *own, F.explode(each).alias("k")).select(F.xxhash64("k.i", "k.k").alias("bucket"), "node", *own)
@@ -56,9 +61,16 @@ def by_keys(nodes: DataFrame, keys: list[Column], n: int, *own: str) -> DataFram
     hot = F.broadcast(rows.groupBy("bucket").count().where(F.col("count") > most).select("bucket", F.ceil(2 * F.col("count") / most).cast("int").alias("pieces")))
     mine = F.pmod(F.xxhash64("node", F.lit(7)), F.col("pieces")).cast("int")
     other = F.explode(F.filter(F.sequence(F.lit(0), F.col("pieces") - 1), lambda j: j != F.col("mine")))
-    wide = rows.join(hot, "bucket").withColumn("mine", mine).withColumn("other", other)
-    wide = wide.select("bucket", (F.least("mine", "other") * F.col("pieces") + F.greatest("mine", "other")).alias("part"), "node", *own)
-    small = rows.join(hot, "bucket", "left_anti").select("bucket", F.lit(-1).alias("part"), "node", *own)
+    part = (F.least("mine", "other") * F.col("pieces") + F.greatest("mine", "other")).alias("part")
+    first = F.when(F.col("other") == F.when(F.col("mine") == 0, 1).otherwise(0), FIRST).otherwise(OTHER)
+    role = [F.col("role")] if hubs else []
+    wide = rows.join(hot, "bucket").withColumn("mine", mine).withColumn("other", other).withColumn("role", first)
+    wide = wide.select("bucket", part, "node", *own, *role)
+    if hubs:
+        least = rows.join(hot, "bucket").groupBy("bucket", "pieces").agg(F.min(F.struct("node", *own)).alias("hub"))
+        each = least.withColumn("mine", F.explode(F.sequence(F.lit(0), F.col("pieces") - 2))).withColumn("other", F.explode(F.sequence(F.col("mine") + 1, F.col("pieces") - 1)))
+        wide = wide.unionByName(each.select("bucket", part, "hub.*", F.lit(HUB).alias("role")))
+    small = rows.join(hot, "bucket", "left_anti").select("bucket", F.lit(-1).alias("part"), "node", *own, *([F.lit(OTHER).alias("role")] if hubs else []))
     return small.unionByName(wide).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from gazetta.llm import components, lines, simhash, substring
 
@@ -408,3 +409,32 @@ def test_large_buckets_of_candidates(spark):
         return out
 
     assert len(a) < len(text) and parts(zip(a.tolist(), b.tolist())) == parts(pairs)
+
+
+def test_hubs_are_in_all_parts_of_large_buckets(spark):
+    """Each pair of a large bucket meets in some part, the least node is in all parts, and each row has one first part."""
+    n = 3 * components.PIECE
+    nodes = spark.range(n).select((F.col("id") - 7).alias("node"), F.lit(5).alias("key"), F.lit(2).alias("size"))
+    t = components.by_keys(nodes, [F.col("key")], n, "size", hubs=True).toPandas()
+    parts = [set(g["node"]) for _, g in t.groupby("part")]
+    assert len(parts) > 2 and all(-7 in p for p in parts) and set.union(*parts) == set(range(-7, n - 7))
+    firsts = t[t["role"] == components.FIRST]
+    assert sorted(firsts["node"]) == list(range(-7, n - 7))
+    met = {(a, b) for p in parts for a in list(range(-7, 20)) if a in p for b in p}
+    assert len(met) == 27 * n
+    few = spark.range(10).select(F.col("id").alias("node"), (F.col("id") % 2).alias("key"), F.lit(2).alias("size"))
+    assert set(components.by_keys(few, [F.col("key")], 10, "size", hubs=True).toPandas()["part"]) == {-1}
+
+
+def test_lines_of_many_near_copies(spark):
+    """One family of lines that differ in a word, more than a bucket holds at once: only the first stays."""
+    rng = random.Random(8)
+    base = [words(rng, 1) for _ in range(24)]
+    docs = []
+    for i in range(3 * components.PIECE):
+        own = list(base)
+        own[i % 24] = f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}"
+        docs.append((i, " ".join(own)))
+    docs.append((len(docs), words(rng, 24)))
+    out = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(docs, DOCS), radius=None).collect()}
+    assert {i for i, x in out.items() if x} == {0, len(docs) - 1}
