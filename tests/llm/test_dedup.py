@@ -236,6 +236,25 @@ def test_edit_distance(rng):
             assert (lines.edit_distance(a, b, most) <= most) == (d[-1] <= most)
 
 
+def test_similar_pairs_at_once(rng):
+    """Many pairs compared together say what one pair says: all lengths around the words' ends, letters beyond ASCII, few and many edits."""
+    text = ["", "a", "é" * 64]
+    for size in (3, 20, 63, 64, 65, 127, 128, 129, 200, 400, 700):
+        base = [rng.choice("abcdé字 ") for _ in range(size)]
+        for share in (0, 0.02, 0.15, 0.2, 0.21, 0.4):
+            other = list(base)
+            for _ in range(int(share * size)):
+                at = rng.randrange(len(other))
+                other[at : at + 1] = rng.choice(([], ["x"], [other[at], "y"]))
+            text.append("".join(other))
+    a, b = (np.array(x) for x in zip(*[(i, j) for i in range(len(text)) for j in range(len(text))]))
+    letters = lines.Letters(text)
+    for least in (0.8, 0.5):
+        want = [lines.similar(text[i], text[j], least) for i, j in zip(a, b)]
+        assert letters.similar(a, b, least).tolist() == want and 0.03 < np.mean(want) < 0.9
+    assert all(set(letters.fitting(i, np.arange(len(text)), 0.8).tolist()) >= {j for j in range(len(text)) if lines.similar(text[i], text[j])} for i in range(len(text)))
+
+
 def test_line_dedup_against_brute_force(spark, rng):
     long = words(rng, 60)
     texts = {i: "\n".join(words(rng, 9) for _ in range(5)) for i in range(8)}
