@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -55,6 +56,12 @@ def drop_cut(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Frees what finished plans hold on the driver: frames that nothing names, then the JVM's objects, upon which Spark drops their broadcasts and shuffles. Costs a full collection of the driver's heap, and no work."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def crc_bucket(key: str, n: int) -> Column:
     """crc32 of an id written as text, modulo n."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % n
