@@ -457,3 +457,38 @@ def test_lines_of_many_near_copies(spark):
     docs.append((len(docs), words(rng, 24)))
     out = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(docs, DOCS), radius=None).collect()}
     assert {i for i, x in out.items() if x} == {0, len(docs) - 1}
+
+
+def test_distance_of_pairs_apart(monkeypatch):
+    """Bounds and early ends change no decision; lines that share a passage and nothing else cost few steps."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(1, 9))) for _ in range(300)]
+    say = lambda n: " ".join(rng.choice(words, n))
+    shared = say(25)
+    pairs = [(f"{say(30)} {shared}", f"{say(30)} {shared}") for _ in range(15)] + [(f"{shared} {say(30)}", f"{shared} {say(30)}") for _ in range(15)]
+    for n in (3, 12, 60, 150):
+        for edits in range(0, n // 2 + 2, max(1, n // 12)):
+            v = say(n).split()
+            w = list(v)
+            for i in rng.integers(0, n, edits):
+                w[i] = str(rng.choice(words))
+            pairs += [(" ".join(v), " ".join(w)), (" ".join(v), " ".join(w[edits // 3 :]))]
+
+    def distance(a, b):
+        d = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            last, d[0] = d[0], i + 1
+            for j, y in enumerate(b):
+                last, d[j + 1] = d[j + 1], min(d[j] + 1, d[j + 1] + 1, last + (x != y))
+        return d[-1]
+
+    want = [distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9) for a, b in pairs]
+    assert [lines.similar(a, b) for a, b in pairs] == want and 0.2 < np.mean(want) < 0.8
+    assert lines.similar_pairs(pairs, 0.8).tolist() == want
+    monkeypatch.setattr(lines, "FEW_PAIRS", 1)
+    assert lines.similar_pairs(pairs, 0.8).tolist() == want
+    looks, look = [], lines.hopeless
+    monkeypatch.setattr(lines, "hopeless", lambda *x: looks.append(x[2] / (x[2] + x[4])) or look(*x))
+    for a, b in pairs[:30]:
+        looks.clear()
+        assert not lines.similar(a, b) and max(looks) < 0.9
