@@ -172,15 +172,16 @@ def shares_by(df: DataFrame, key: Column, least: int = 25) -> DataFrame:
 
 def reachability(rows: DataFrame, authority: DataFrame, ancestors: DataFrame) -> DataFrame:
     """rows (row_id, place, truth) with class: absent if nothing names the record, reachable if an ancestor of it is named too, else unsupported."""
-    names = authority.where("name <> ''").select(X.normalized_term(F.col("name")).alias("n"), F.col("uuid").alias("hit"))
-    terms = rows.select("row_id", "truth", F.explode(X.non_empty(F.split("place", "[,;]"))).alias("t")).withColumn("n", X.normalized_term(F.col("t")))
-    reached = terms.select("row_id", "truth", "n").join(names, "n").select("row_id", "truth", "hit").distinct()
-    own = reached.where("hit = truth").select("row_id").distinct().withColumn("direct", F.lit(True))
-    up = reached.join(ancestors.select(F.col("uuid").alias("truth"), F.col("anc").alias("hit")), ["truth", "hit"]).select("row_id").distinct().withColumn("up", F.lit(True))
+    names = authority.where("name <> ''").select(F.col("uuid").alias("hit"), X.normalized_term(F.col("name")).alias("n"))
+    # From the record's own names and its ancestors' to the terms, as a term may name very many records.
+    own = names.groupBy(F.col("hit").alias("truth")).agg(F.collect_set("n").alias("_own"))
+    up = ancestors.select(F.col("uuid").alias("truth"), F.col("anc").alias("hit")).join(names, "hit").groupBy("truth").agg(F.collect_set("n").alias("_up"))
     truth = authority.select(F.col("uuid").alias("truth"), X.words(X.normalized_term(F.col("name"))).alias("toks"))
     named = F.exists(X.non_empty(F.split("place", "[,;]")), lambda t: X.within(F.col("toks"), X.words(X.normalized_term(t))))
-    df = rows.join(truth, "truth", "left").join(own, "row_id", "left").join(up, "row_id", "left")
-    cls = F.when(F.col("toks").isNull() | ~(F.coalesce(named, F.lit(False)) | F.col("direct").isNotNull()), "absent").when(F.col("up").isNotNull(), "reachable").otherwise("unsupported")
+    df = rows.join(truth, "truth", "left").join(own, "truth", "left").join(up, "truth", "left")
+    df = df.withColumn("_terms", F.transform(X.non_empty(F.split("place", "[,;]")), lambda t: X.normalized_term(t)))
+    says = lambda c: F.coalesce(F.arrays_overlap("_terms", c), F.lit(False))
+    cls = F.when(F.col("toks").isNull() | ~(F.coalesce(named, F.lit(False)) | says("_own")), "absent").when(says("_up"), "reachable").otherwise("unsupported")
     return df.select(*rows.columns, cls.alias("reach"))
 
 
