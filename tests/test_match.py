@@ -132,3 +132,23 @@ def test_segmentation_of_all_places(spark):
             assert places[i] in regions and (r.decision, r.reason) == ("rejected", "whole_known")
         else:
             assert i % 10 == 8 and (r.decision, r.reason) == ("rejected", "stopword")
+
+
+def test_equal_strings_and_many_homonyms(spark):
+    """Each row keeps its own id, what is kept of an outcome does not grow with the records of a name, and reachability joins no term to them."""
+    from gazetta.operators import hierarchy as H
+    from gazetta.operators import metrics as E
+
+    authority = spark.createDataFrame([*ROWS, *[(f"S{i:02}", "IA", "Springfield", 4, "City", i, 42.0, -93.0, "") for i in range(60)]], AUTHORITY)
+    aliases = spark.createDataFrame([("x y z", "", "VIL")], "raw string, value string, uuid string")
+    texts = ["Springfield, Iowa", "Springfield", "Springfield, Iowa", None, "Springfield, Iowa", None]
+    m = P.match(spark.createDataFrame([(i, p, f"g{i}", str(i)) for i, p in enumerate(texts)], "row_id long, place string, guid string, frequency string"), P.Sources(authority, aliases))
+    got = {r.row_id: r for r in m.results.collect()}
+    assert [(got[i].guid, got[i].frequency, got[i].original) for i in range(6)] == [(f"g{i}", str(i), p) for i, p in enumerate(texts)]
+    assert {got[i].match_type for i in (0, 2, 4)} == {"chain_amb"} and got[0].candidate_ids[0] == got[4].candidate_ids[0] == "S59"
+    for r in m.decided.where("place IS NOT NULL").collect():
+        assert sum(len(s.uuids) for s in r.m.steps) <= 2 and sum(len(t.cands) for t in r.r) <= 1
+    rows = spark.createDataFrame([(1, "Springfield, Iowa", "S07"), (2, "Springfield", "S08"), (3, "Ely, Iowa", "S09"), (4, "Springfield", "none")], "row_id long, place string, truth string")
+    reach = E.reachability(rows, authority, H.ancestors(authority))
+    assert {r.row_id: r.reach for r in reach.collect()} == {1: "reachable", 2: "unsupported", 3: "absent", 4: "absent"}
+    assert "explode" not in reach._jdf.queryExecution().toString()
