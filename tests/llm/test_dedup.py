@@ -492,3 +492,41 @@ def test_distance_of_pairs_apart(monkeypatch):
     for a, b in pairs[:30]:
         looks.clear()
         assert not lines.similar(a, b) and max(looks) < 0.9
+
+
+def test_packed_buckets_hold_every_row_once(spark):
+    """Buckets of small slots come back whole from their bytes, large ones are named with their rows; against a plain count."""
+    from collections import Counter
+
+    rng = np.random.default_rng(5)
+    rows = [(i, 100 + i % 7, *(int(x) for x in rng.integers(-(1 << 62), 1 << 62, 3)), *(int(x) for x in rng.integers(0, 40, 4) << 32 | rng.integers(0, 300, 4))) for i in range(3000)]
+    names = ["node", "size", *lines.SKETCH, *lines.KEYS]
+    classes = spark.createDataFrame(rows, "node long, size int, " + ", ".join(f"{c} long" for c in names[2:])).repartition(5)
+    want = {}
+    for r in rows:
+        for i, k in enumerate(r[5:]):
+            for band, x in ((2 * i, k >> 32), (2 * i + 1, k & 0xFFFFFFFF)):
+                want.setdefault((band << 32) + x, set()).add(r[0])
+    members, large = lines.large_buckets(classes, len(rows), 60)
+    assert dict(large) == {b: len(x) for b, x in want.items() if len(x) > 60}
+    held = members.where(F.col("bucket").isin([b for b, _ in large])).toPandas()
+    assert {b: set(x) for b, x in held.groupby("bucket").node} == {b: x for b, x in want.items() if len(x) > 60}
+    got = Counter()
+    by_node = {r[0]: r for r in rows}
+    for r in lines.packed_buckets(classes, len(rows), [b for b, _ in large]).toArrow().group_by("slot").aggregate([(c, "list") for c in ("key", "node", "size", "s0", "s1")]).to_pylist():
+        t = lines.unpacked_buckets(pa.table({"slot": [r["slot"]] * len(r["key_list"]), **{c: r[f"{c}_list"] for c in ("key", "node", "size", "s0", "s1")}})).to_pandas()
+        for _, x in t.groupby("bucket"):
+            got[frozenset(x.node)] += 1
+        assert all((s, a, b) == by_node[n][1:4] for n, s, a, b in zip(t.node, t["size"], t.s0, t.s1))
+    assert got == Counter(frozenset(x) for x in want.values() if 1 < len(x) <= 60)
+
+
+def test_letter_counts_never_refuse_a_close_pair():
+    """The bound by numbers of letters keeps every pair within the distance and drops some that is not."""
+    rng = np.random.default_rng(6)
+    text = ["".join(rng.choice(list("abcdeé漢"), rng.integers(0, 30))) for _ in range(60)]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    most = np.full(len(a), 6)
+    kept = lines.Letters(text).possible(a, b, most)
+    near = [i for i, (x, y) in enumerate(zip(a, b)) if lines.edit_distance(text[x], text[y], 6) <= 6]
+    assert set(near) <= set(kept.tolist()) and len(kept) < len(a)
