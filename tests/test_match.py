@@ -152,3 +152,28 @@ def test_equal_strings_and_many_homonyms(spark):
     reach = E.reachability(rows, authority, H.ancestors(authority))
     assert {r.row_id: r.reach for r in reach.collect()} == {1: "reachable", 2: "unsupported", 3: "absent", 4: "absent"}
     assert "explode" not in reach._jdf.queryExecution().toString()
+
+
+def test_ties_are_whole_and_classes_stand_for_their_records(spark):
+    """A tie has all its records, once for all rows that share it; neighbours are measured to each record of a class; candidates are classes."""
+    towns = [(f"{p}{i:02}", county, "Dale", 4, "City", i % 7, 41.0 + i / 50, lon + i / 90, "") for p, county, lon in (("DA", "ADA", -94.7), ("DU", "UNI", -94.3)) for i in range(40)]
+    authority = spark.createDataFrame([*ROWS, *towns], AUTHORITY)
+    aliases = spark.createDataFrame([("x y z", "", "VIL"), ("dale gate", "", "DA07")], "raw string, value string, uuid string")
+    texts = ["Dale, Iowa", "Dale", "Dale, Iowa", "Dale, Iowa, USA", "Dale; Dale, Iowa"]
+    m = P.match(spark.createDataFrame([(i, p, f"g{i}", str(i)) for i, p in enumerate(texts)], "row_id long, place string, guid string, frequency string"), P.Sources(authority, aliases))
+    every = [u for _, u in sorted((-t[5], t[0]) for t in towns)]
+    got = m.tied(authority).collect()
+    assert {r.row_id: r.tie for r in got} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0}
+    assert [r.authority_id for r in sorted((r for r in got if r.row_id == 0), key=lambda r: r["rank"])] == every
+    assert [(r["rank"], r.authority_id) for r in got if r.row_id != 0] == [(None, None)] * 4
+    results = {r.row_id: r for r in m.results.collect()}
+    assert list(results[4].candidate_ids) == every[:5] and results[4].candidates == 5
+    counties = {r[0]: {"plat": r[6], "plon": r[7], "name": r[2]} for r in ROWS}
+    notes = []
+    for t in sorted(towns):
+        km = min(fold.haversine(counties[t[1]], {"lat": x[6], "lon": x[7]}, "plat", "plon") for x in towns)
+        if km <= 50:
+            notes.append(f"Dale County (proximity: {km:.0f}km, actual: {counties[t[1]]['name']} County)")
+    assert results[4].skipped_terms == "; ".join(notes) and len(notes) == 80
+    classes = M.classed(authority, T.alias_index(aliases)).where("name = 'Dale'").groupBy("rep").count().collect()
+    assert sorted(tuple(r) for r in classes) == [("DA00", 39), ("DA07", 1), ("DU00", 40)]
